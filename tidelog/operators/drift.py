@@ -15,7 +15,7 @@ from tidelog.functions.names import plain_name, plain_type
 from tidelog.session import kept
 
 FILE = ["db_name", "table_name", "file_no"]
-_PAIRS = "array<struct<name:string,value:string>>"
+_MAP = "map<string,string>"
 _TYPES = "array<struct<name:string,type:string>>"
 
 
@@ -35,49 +35,53 @@ def structures(raw: DataFrame) -> DataFrame:
         plain_name("db_name").alias("db_name"), plain_name("table_name").alias("table_name"), "file_no",
         F.filter(fields, lambda f: f["name"].isNotNull()).alias("fields"), key.alias("key"), "exported_at", "structure_no",
     )
+    # A name that a file lists twice has the type listed first.
+    listed = F.transform("fields", lambda f: f["name"])
+    slim = slim.withColumn("fields", F.filter("fields", lambda f, i: F.array_position(listed, f["name"]) == i + 1))
     newest = F.max(F.struct(F.coalesce("exported_at", F.lit("0001-01-01").cast("timestamp_ntz")).alias("at"), "structure_no", "fields", "key"))
     return slim.groupBy(*FILE).agg(newest.alias("s")).select(*FILE, "s.fields", "s.key")
 
 
 def file_records(raw: DataFrame) -> DataFrame:
-    """One row per line of file_rows: the file's columns, line_no, id and the payload's fields as (name, text) pairs.
+    """One row per line of file_rows: the file's columns, line_no, id, and fields, the payload's texts by plain name.
 
     Repeated lines count once. JSON numbers keep their digits, JSON null and absent both give no text. A payload that
-    isn't a JSON object gives no pairs and a null id, and is kept. Of two spellings of a name in one payload the first
+    isn't a JSON object gives no fields and a null id, and is kept. Of two spellings of a name in one payload the first
     that has a value counts.
     """
-    parsed = F.from_json("payload", "map<string,string>")
-    pairs = F.transform(F.map_entries(parsed), lambda e: F.struct(plain_name(e["key"]).alias("name"), e["value"].alias("value")))
+    parsed = F.coalesce(F.from_json("payload", _MAP), _empty(_MAP))
     lines = (
         raw.select(plain_name("db_name").alias("db_name"), plain_name("table_name").alias("table_name"), "file_no", "line_no", "payload", "file_row_no")
         .groupBy(*FILE, "line_no")
         .agg(F.min_by("payload", "file_row_no").alias("payload"))
-    )
-    return lines.select(*FILE, "line_no", F.coalesce(pairs, F.expr("array()").cast(_PAIRS)).alias("pairs")).withColumn(
-        "id", value_of("pairs", F.lit("id"))
-    )
+    ).withColumn("fields", parsed)
+    keys = F.map_keys("fields")
+    distinct = F.array_distinct(F.transform(keys, plain_name))
+    first = lambda n: F.get(F.filter(F.map_entries("fields"), lambda e: (plain_name(e["key"]) == n) & e["value"].isNotNull())["value"], F.lit(0))
+    cleaned = F.map_from_arrays(distinct, F.transform(distinct, first))
+    plain = F.forall(keys, lambda k: k == plain_name(k)) & (F.size(keys) == F.size(F.array_distinct(keys)))
+    return lines.select(*FILE, "line_no", F.when(plain, F.col("fields")).otherwise(cleaned).alias("fields")).withColumn("id", F.try_element_at("fields", F.lit("id")))
 
 
-def value_of(pairs: Column | str, name: Column) -> Column:
-    """The first value that `pairs` has under `name`; null where there is none."""
-    return F.get(F.filter(pairs, lambda p: (p["name"] == name) & p["value"].isNotNull())["value"], F.lit(0))
+def _empty(kind: str) -> Column:
+    return F.expr("map()" if kind.startswith("map") else "array()").cast(kind)
 
 
 def holds(value: Column, kind: Column) -> Column:
     """Whether a column of source type `kind` (plain form) can hold the text `value`. Null and unknown types can."""
     number = value.try_cast("decimal(38,10)")
-    bits = F.lit(None).cast("int")
-    for name, size in (("int", 32), ("bigint", 64), ("mediumint", 24), ("smallint", 16), ("tinyint", 8)):
-        bits = F.when(kind.startswith(name), size).otherwise(bits)
     unsigned = kind.contains("unsigned")
-    most = F.pow(F.lit(2), F.when(unsigned, bits).otherwise(bits - 1)).cast("decimal(38,0)")
+    most = F.lit(None).cast("decimal(38,0)")
+    for name, bits in (("int", 32), ("bigint", 64), ("mediumint", 24), ("smallint", 16), ("tinyint", 8)):
+        limit = [F.lit(str(2**b)).cast("decimal(38,0)") for b in (bits, bits - 1)]
+        most = F.when(kind.startswith(name), F.when(unsigned, limit[0]).otherwise(limit[1])).otherwise(most)
     whole = (number == F.floor(number)) & (number < most) & (number >= F.when(unsigned, F.lit(0).cast("decimal(38,0)")).otherwise(-most))
     # enum('a','b'): a label is what stands between two quotes.
     labels = F.split(F.regexp_extract(kind, r"^enum\('(.*)'\)", 1), "','")
     digits = F.regexp_extract(kind, r"^(?:varchar|char)\((\d+)\)", 1)
     return (
         F.when(value.isNull(), True)
-        .when(bits.isNotNull(), F.coalesce(whole, F.lit(False)))
+        .when(most.isNotNull(), F.coalesce(whole, F.lit(False)))
         .when(kind.startswith("decimal") | kind.startswith("numeric"), number.isNotNull())
         .when(kind.startswith("double") | kind.startswith("float") | kind.startswith("real"), value.try_cast("double").isNotNull())
         .when(kind.startswith("datetime") | kind.startswith("timestamp"), value.try_cast("timestamp_ntz").isNotNull())
@@ -89,28 +93,30 @@ def holds(value: Column, kind: Column) -> Column:
 
 
 def ingest(records: DataFrame, targets: DataFrame) -> DataFrame:
-    """records under a target schema: typed (name, value pairs in the schema's order) and rescued (JSON or null).
+    """records under a target schema: typed (the value of each of its fields, in order) and rescued (JSON or null).
 
     targets has the columns of FILE and fields; records of a file without a target keep everything in `rescued`.
     Every value a record holds is afterwards in exactly one of the two columns.
     """
-    aimed = targets.select(*FILE, F.col("fields").alias("_target"))
-    joined = records.join(aimed, FILE, "left").withColumn("_target", F.coalesce("_target", F.expr("array()").cast(_TYPES)))
-    found = F.transform("_target", lambda t: F.struct(t["name"].alias("name"), t["type"].alias("type"), value_of("pairs", t["name"]).alias("value")))
-    typed = F.transform(found, lambda t: F.struct(t["name"].alias("name"), F.when(holds(t["value"], t["type"]), t["value"]).alias("value")))
-    names = F.transform("_target", lambda t: t["name"])
-    lost = F.filter(
-        "pairs",
-        lambda p: p["value"].isNotNull()
-        & (~F.array_contains(names, p["name"]) | F.exists("_target", lambda t: (t["name"] == p["name"]) & ~holds(p["value"], t["type"]))),
-    )
-    once = F.aggregate(
-        lost,
-        F.expr("array()").cast(_PAIRS),
-        lambda done, p: F.when(F.exists(done, lambda d: d["name"] == p["name"]), done).otherwise(F.concat(done, F.array(p))),
-    )
-    rescued = F.when(F.size(once) > 0, F.to_json(F.map_from_entries(once)))
-    return joined.withColumns({"typed": typed, "rescued": rescued}).drop("_target", "pairs")
+    aimed = targets.select(*FILE, F.map_from_entries("fields").alias("_target"))
+    joined = records.join(aimed, FILE, "left").withColumn("_target", F.coalesce("_target", _empty(_MAP)))
+    value = lambda n: F.try_element_at("fields", n)
+    typed = F.transform_values("_target", lambda n, kind: _fitting(value(n), kind))
+    lost = F.map_filter("fields", lambda n, v: v.isNotNull() & ~_fits(v, F.try_element_at("_target", n)))
+    return joined.withColumns({"typed": typed, "rescued": _json(lost)}).drop("_target", "fields")
+
+
+def _fits(value: Column, kind: Column) -> Column:
+    return F.when(kind.isNull(), False).otherwise(holds(value, kind))
+
+
+def _fitting(value: Column, kind: Column) -> Column:
+    """The value if it fits, else null; bound once, since it is used several times."""
+    return F.get(F.filter(F.array(value), lambda v: v.isNotNull() & holds(v, kind)), F.lit(0))
+
+
+def _json(fields: Column) -> Column:
+    return F.when(F.size(fields) > 0, F.to_json(fields))
 
 
 def promote(ingested: DataFrame, approved: DataFrame) -> DataFrame:
@@ -119,21 +125,29 @@ def promote(ingested: DataFrame, approved: DataFrame) -> DataFrame:
     approved: the columns of FILE, name (as rescued), target_name, target_type. A value the type holds moves from
     `rescued` to `typed` under target_name, where the column is empty or absent so far; all others stay rescued.
     """
-    grouped = approved.groupBy(*FILE).agg(F.collect_list(F.struct("name", "target_name", "target_type")).alias("_new"))
-    joined = ingested.join(grouped, FILE, "left")
-    kept_ = F.coalesce(F.map_entries(F.from_json("rescued", "map<string,string>")), F.expr("array()").cast("array<struct<key:string,value:string>>"))
-    joined = joined.withColumns({"_kept": kept_, "_new": F.coalesce("_new", F.expr("array()").cast("array<struct<name:string,target_name:string,target_type:string>>"))})
-    filled = lambda name: F.exists("typed", lambda t: (t["name"] == name) & t["value"].isNotNull())
-    moves = F.filter(
-        "_kept",
-        lambda k: F.exists("_new", lambda a: (a["name"] == k["key"]) & holds(k["value"], a["target_type"]) & ~filled(a["target_name"])),
+    aim = F.struct(F.col("name").alias("key"), F.struct("target_name", "target_type").alias("value"))
+    grouped = approved.dropDuplicates([*FILE, "name"]).groupBy(*FILE).agg(F.map_from_entries(F.collect_list(aim)).alias("_aims"))
+    none = "map<string,struct<target_name:string,target_type:string>>"
+    joined = ingested.join(grouped, FILE, "left").withColumns(
+        {"_held": F.coalesce(F.from_json("rescued", _MAP), _empty(_MAP)), "_aims": F.coalesce("_aims", _empty(none))}
     )
-    aim = lambda k: F.filter("_new", lambda a: a["name"] == k["key"])[0]
-    moved = F.transform(moves, lambda k: F.struct(aim(k)["target_name"].alias("name"), k["value"].alias("value")))
-    joined = joined.withColumns({"_moved": moved, "_gone": F.transform(moves, lambda k: k["key"])})
-    rest = F.filter("_kept", lambda k: ~F.array_contains("_gone", k["key"]))
-    typed = F.concat(F.filter("typed", lambda t: ~F.exists("_moved", lambda m: m["name"] == t["name"])), "_moved")
-    return joined.withColumns({"typed": typed, "rescued": F.when(F.size(rest) > 0, F.to_json(F.map_from_entries(rest)))}).drop("_kept", "_new", "_moved", "_gone")
+    aimed = lambda n: F.try_element_at("_aims", n)
+    moves = F.map_filter("_held", lambda n, v: _fits(v, aimed(n)["target_type"]) & F.try_element_at("typed", aimed(n)["target_name"]).isNull())
+    joined = joined.withColumn("_moves", moves)
+    moved = F.transform_keys("_moves", lambda n, _: aimed(n)["target_name"])
+    taken = F.map_keys(moved)
+    typed = F.map_concat(F.map_filter("typed", lambda n, _: ~F.array_contains(taken, n)), moved)
+    rest = F.map_filter("_held", lambda n, _: ~F.map_contains_key("_moves", n))
+    # Two names that lead to one column: the first keeps it, the others stay rescued.
+    safe = joined.withColumn("_moves", F.when(F.size(F.array_distinct(F.transform(F.map_keys("_moves"), lambda n: aimed(n)["target_name"]))) < F.size("_moves"), _first_aims()).otherwise(F.col("_moves")))
+    return safe.withColumns({"typed": typed, "rescued": _json(rest)}).drop("_held", "_aims", "_moves")
+
+
+def _first_aims() -> Column:
+    """_moves with only the first name of each target."""
+    names = F.map_keys("_moves")
+    aim = lambda n: F.try_element_at("_aims", n)["target_name"]
+    return F.map_filter("_moves", lambda n, _: F.filter(names, lambda o: aim(o) == aim(n))[0] == n)
 
 
 def _renames(pairs: DataFrame, records: DataFrame) -> DataFrame:
@@ -144,14 +158,12 @@ def _renames(pairs: DataFrame, records: DataFrame) -> DataFrame:
     of (id, value) that adds up in any order: work grows with fields, not with pairs of fields.
     """
     pairs = pairs.where("size(gone) > 0 AND size(new) > 0")
-    later = ingest(records.where("id IS NOT NULL"), pairs.select(*FILE, F.col("old_fields").alias("fields")))
-    later = later.join(pairs.select(*FILE, "new"), FILE).select(*FILE, "id", F.from_json("rescued", "map<string,string>").alias("rescued"), "new", "typed")
-    # What the old schema holds, in the new file's place, is no new name; `rescued` carries all the others.
-    new_side = later.select(*FILE, "id", F.explode(F.transform("new", lambda n: F.struct(n.alias("name"), F.try_element_at("rescued", n).alias("value")))).alias("f"))
-    earlier = records.where("id IS NOT NULL").withColumn("file_no", F.col("file_no") + 1)
-    old_side = earlier.join(pairs.select(*FILE, "gone"), FILE).select(
-        *FILE, "id", F.explode(F.transform("gone", lambda n: F.struct(n.alias("name"), value_of("pairs", n).alias("value")))).alias("f")
-    )
+    records = records.where("id IS NOT NULL")
+    later = ingest(records, pairs.select(*FILE, F.col("old_fields").alias("fields"))).join(pairs.select(*FILE, "new"), FILE)
+    picked = lambda names, fields: F.explode(F.transform(names, lambda n: F.struct(n.alias("name"), F.try_element_at(fields, n).alias("value")))).alias("f")
+    new_side = kept(later.withColumn("held", F.from_json("rescued", _MAP)).select(*FILE, "id", picked("new", "held")), "new-side")
+    earlier = records.withColumn("file_no", F.col("file_no") + 1).join(pairs.select(*FILE, "gone"), FILE)
+    old_side = kept(earlier.select(*FILE, "id", picked("gone", "fields")), "old-side")
     once = lambda df: df.select(*FILE, "id").distinct()
     both = kept(once(new_side).intersect(once(old_side)), "shared-ids")
 
@@ -211,7 +223,7 @@ def changes(raw_structures: DataFrame, raw_rows: DataFrame) -> tuple[DataFrame,
 def consistent_table(raw_structures: DataFrame, raw_rows: DataFrame) -> DataFrame:
     """All records of all files under the last file's schema of their table.
 
-    db_name, table_name, file_no, line_no, id, typed (name, value pairs of the final schema), rescued (JSON of values
+    db_name, table_name, file_no, line_no, id, typed (the final schema's values by name), rescued (JSON of values
     that schema has no field or no type for). A record is ingested under its own file's schema, then each field
     that the final schema still has, under whatever name, is promoted into the final column.
     """
@@ -234,5 +246,5 @@ def consistent_table(raw_structures: DataFrame, raw_rows: DataFrame) -> DataFram
     # The target starts without the fields, so everything is rescued first and what is approved is replayed.
     empty = s.select(*FILE, F.expr("array()").cast(_TYPES).alias("fields"))
     replayed = promote(ingest(file_records(raw_rows), empty), approved).join(last, ["db_name", "table_name"], "left")
-    wide = F.transform("final", lambda f: F.struct(f["name"].alias("name"), value_of("typed", f["name"]).alias("value")))
+    wide = F.transform_values(F.map_from_entries("final"), lambda n, _: F.try_element_at("typed", n))
     return replayed.withColumn("typed", F.coalesce(wide, "typed")).drop("final")

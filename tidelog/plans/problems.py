@@ -53,7 +53,7 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p4_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All records under the last schema of their table; typed holds the fields that have a value, as JSON."""
     whole = drift.consistent_table(table(spark, sf_dir, "table_structures"), table(spark, sf_dir, "file_rows"))
-    return whole.select("db_name", "table_name", "file_no", "line_no", "id", F.to_json(F.map_from_entries("typed")).alias("typed"), "rescued")
+    return whole.select("db_name", "table_name", "file_no", "line_no", "id", F.to_json("typed").alias("typed"), "rescued")
 
 
 def _compared(spark: SparkSession, sf_dir: str) -> DataFrame:
