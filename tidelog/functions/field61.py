@@ -52,7 +52,7 @@ def times(f: list[int], g: list[int]) -> list[int]:
 
 def divided(f: list[int], g: list[int]) -> tuple[list[int], list[int]]:
     """Quotient and remainder; coefficients from the lowest."""
-    rest, inverse = list(f), pow(g[-1], P - 2, P)
+    rest, inverse = list(f), pow(g[-1], -1, P)
     quotient = [0] * max(0, len(f) - len(g) + 1)
     for i in range(len(rest) - len(g), -1, -1):
         q = rest[i + len(g) - 1] * inverse % P
@@ -64,7 +64,7 @@ def divided(f: list[int], g: list[int]) -> tuple[list[int], list[int]]:
 
 
 def monic(f: list[int]) -> list[int]:
-    inverse = pow(f[-1], P - 2, P)
+    inverse = pow(f[-1], -1, P)
     return [c * inverse % P for c in f]
 
 
@@ -75,41 +75,65 @@ def common(f: list[int], g: list[int]) -> list[int]:
 
 
 def roots(f: list[int]) -> list[int] | None:
-    """The roots of a monic polynomial that is a product of distinct linear factors; None if it isn't."""
-    if len(f) <= 1:
-        return []
-    if len(f) > 2 and any((a - b) % P for a, b in _padded(_power([0, 1], P, f), [0, 1])):
-        return None
+    """The roots of a monic polynomial that is a product of distinct linear factors; None if it isn't.
+
+    Degrees one and two have formulas (P is 3 mod 4, so a square root is one power); higher degrees are split by common
+    factors with (x + r)**((P - 1) / 2) - 1 for random r, which hold about half of the roots.
+    """
     found: list[int] = []
-    rng = random.Random(len(f))
-    todo = [f]
+    rng, todo, left = random.Random(len(f)), [f], 64
     while todo:
         g = todo.pop()
         if len(g) == 2:
             found.append(-g[0] % P)
-            continue
-        while True:
-            h = _power([rng.randrange(P), 1], (P - 1) // 2, g)
-            part = common(g, trimmed([(a - b) % P for a, b in _padded(h, [1])]))
-            if 1 < len(part) < len(g):
-                todo += [part, monic(divided(g, part)[0])]
-                break
-    return found
-
-
-def _padded(f: list[int], g: list[int]) -> list[tuple[int, int]]:
-    n = max(len(f), len(g))
-    return list(zip(f + [0] * (n - len(f)), g + [0] * (n - len(g)), strict=True))
-
-
-def _power(f: list[int], n: int, mod: list[int]) -> list[int]:
-    out, base = [1], divided(f, mod)[1]
-    while n:
-        if n & 1:
-            out = divided(times(out, base), mod)[1]
-        n >>= 1
-        if n:
-            base = divided(times(base, base), mod)[1]
+        elif len(g) == 3:
+            square = (g[1] * g[1] - 4 * g[0]) % P
+            root = pow(square, (P + 1) // 4, P)
+            if not root or root * root % P != square:
+                return None
+            found += [(s - g[1]) * ((P + 1) // 2) % P for s in (root, -root)]
+        elif len(g) > 3:
+            left -= 1
+            if left < 0:
+                return None  # a factor that can't be split isn't linear
+            h = _half_power(rng.randrange(P), g)
+            h[0] = (h[0] - 1) % P
+            part = common(g, trimmed(h))
+            split = 1 < len(part) < len(g)
+            todo += [part, monic(divided(g, part)[0])] if split else [g]
+    return found if len(set(found)) == len(found) and all(value(f, x) == 0 for x in found) else None
+
+
+def _half_power(r: int, mod: list[int]) -> list[int]:
+    """(x + r)**((P - 1) / 2) modulo a monic polynomial of degree n > 1. The exponent is 2**60 - 1: powers of 2**k - 1 are
+    put together from smaller k."""
+    n = len(mod) - 1
+    folds, row = [], [-c % P for c in mod[:n]]  # x**n, x**(n + 1), ... modulo mod
+    for _ in range(n - 1):
+        folds.append(row)
+        row = [(a - row[-1] * m) % P for a, m in zip([0, *row[:-1]], mod, strict=False)]
+
+    def product(f: list[int], g: list[int]) -> list[int]:
+        whole = [0] * (2 * n - 1)
+        for i, a in enumerate(f):
+            for j, b in enumerate(g):
+                whole[i + j] += a * b
+        low = whole[:n]
+        for c, fold in zip(whole[n:], folds, strict=True):
+            c %= P
+            for i, x in enumerate(fold):
+                low[i] += c * x
+        return [x % P for x in low]
+
+    base = [r, 1] + [0] * (n - 2)
+    out, k = base, 1
+    for bit in bin(60)[3:]:
+        other = out
+        for _ in range(k):
+            other = product(other, other)
+        out, k = product(other, out), 2 * k
+        if bit == "1":
+            out, k = product(product(out, out), base), k + 1
     return out
 
 
@@ -122,7 +146,7 @@ def solved(rows: list[list[int]]) -> list[int] | None:
         if k is None:
             continue
         m[at], m[k] = m[k], m[at]
-        inverse = pow(m[at][c], P - 2, P)
+        inverse = pow(m[at][c], -1, P)
         m[at] = top = [x * inverse % P for x in m[at]]
         for i in range(len(m)):
             if i != at and (q := m[i][c]):

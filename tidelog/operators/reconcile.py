@@ -11,6 +11,7 @@ differing hash are then fetched and compared field by field.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +23,9 @@ from tidelog.functions.names import plain_name
 from tidelog.session import bounded, kept
 
 #: Rows a bucket is sized for, the first degree bound, the points beyond the bound that verify it, buckets in a group.
-BUCKET_ROWS, FIRST_DEGREE, CHECKS, GROUP = 48, 8, 2, 2048
+BUCKET_ROWS, FIRST_DEGREE, CHECKS, GROUP = 24, 8, 2, 2048
+#: Buckets that a task solves.
+SOLVED = 1_000
 #: Beyond this bound a bucket's differing hashes are found by an anti join of hashes: its rows differ almost everywhere.
 LAST_DEGREE = 64
 #: Points of evaluation are 1, 2, 3, …; hashes are above them all, so that no value is 0.
@@ -85,6 +88,11 @@ def _sketch(side: DataFrame, points: int) -> DataFrame:
     return grouped.applyInArrow(_evaluator(points), wanted)
 
 
+@lru_cache
+def _powers(z: int) -> list[int]:
+    return [pow(z, k, field61.P) for k in range(LAST_DEGREE + 1)]
+
+
 def recovered(a: tuple[int, list[int]], b: tuple[int, list[int]], bound: int) -> tuple[list[int], list[int]] | None:
     """The hashes only in a and only in b, from (count, values at 1..bound + CHECKS); None if they are more than bound."""
     n_a, n_b = a[0], b[0]
@@ -94,11 +102,11 @@ def recovered(a: tuple[int, list[int]], b: tuple[int, list[int]], bound: int) ->
     top = bound - (bound - gap) % 2  # the degrees' sum has the gap's parity
     d_a, d_b = (top + gap) // 2, (top - gap) // 2
     p, q = ([1], [1])
-    ratio = [x * pow(y, field61.P - 2, field61.P) % field61.P for x, y in zip(a[1], b[1], strict=True)]
+    ratio = [x * pow(y, -1, field61.P) % field61.P for x, y in zip(a[1], b[1], strict=True)]
     if d_a + d_b:
         rows = []
         for z, r in enumerate(ratio[: d_a + d_b], 1):
-            powers = [pow(z, k, field61.P) for k in range(max(d_a, d_b) + 1)]
+            powers = _powers(z)
             rows.append(powers[:d_a] + [-r * x % field61.P for x in powers[:d_b]] + [(r * powers[d_b] - powers[d_a]) % field61.P])
         found = field61.solved(rows)
         if found is None:
@@ -133,15 +141,17 @@ def _solver(bound: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
     return run
 
 
-def differing_hashes(a: DataFrame, b: DataFrame) -> DataFrame:
-    """(bucket, side, hash) of the rows found on one side only; a and b have bucket and hash, each hash once."""
+def differing_hashes(a: DataFrame, b: DataFrame, buckets: int) -> DataFrame:
+    """(bucket, side, hash) of the rows found on one side only; a and b have bucket (below buckets) and hash, each hash once."""
     a, b, bound, parts = a.select("bucket", "hash"), b.select("bucket", "hash"), FIRST_DEGREE, []
     while True:
         points = bound + CHECKS
         left, right = _sketch(a, points), _sketch(b, points).select("bucket", F.col("n").alias("m"), F.col("values").alias("others"))
         both = left.join(right, "bucket", "full")
         unlike = both.where(~(F.col("n").eqNullSafe(F.col("m")) & F.col("values").eqNullSafe(F.col("others"))))
-        result = kept(unlike.mapInArrow(_solver(bound), "bucket long, side string, hash long"), "differing")
+        # Solving is arithmetic on a few numbers per bucket; small as they are, they are spread over tasks by number.
+        tasks = max(int(a.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-buckets // SOLVED))
+        result = kept(unlike.repartition(tasks, "bucket").mapInArrow(_solver(bound), "bucket long, side string, hash long"), "differing")
         parts.append(result.where("side <> '?'"))
         open_ = result.where("side = '?'").select("bucket")
         if not open_.limit(1).count():
@@ -150,7 +160,7 @@ def differing_hashes(a: DataFrame, b: DataFrame) -> DataFrame:
         if bound >= LAST_DEGREE:
             parts += [x.join(y, ["bucket", "hash"], "left_anti").select("bucket", F.lit(s).alias("side"), "hash") for x, y, s in ((a, b, "a"), (b, a, "b"))]
             break
-        bound *= 2
+        bound, buckets = bound * 2, max(1, open_.count())
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
@@ -166,7 +176,7 @@ def differences(a: DataFrame, b: DataFrame, names: tuple[str, str] = ("missing_i
     a, b = kept(a, "side-a"), kept(b, "side-b")
     buckets = max(1, -(-max(a.count(), b.count()) // BUCKET_ROWS))
     a, b = _hashed(a, buckets), _hashed(b, buckets)
-    found = kept(differing_hashes(a, b), "found")
+    found = kept(differing_hashes(a, b, buckets), "found")
     fetch = lambda x, s: x.join(found.where(F.col("side") == s).select("bucket", "hash"), ["bucket", "hash"], "left_semi")
     left, right = fetch(a, "a").select(*_KEY, F.col("cells").alias("a_cells")), fetch(b, "b").select(*_KEY, F.col("cells").alias("b_cells"))
     tag = lambda x: x.select(F.struct(*_KEY).alias("k"), F.lit(True).alias("here"), F.col(x.columns[-1]))
