@@ -38,16 +38,16 @@ BOXES = ("─│┌┐└┘├┤┬┴┼", "═║╔╗╚╝╠╣╦╩╬
 #: What an operation costs on top of its result's characters, and what a stretch must gain to count as garbled,
 #: how many states are
 #: followed, and what a letter costs that the language fitting best doesn't have.
-STEP, STEP_LEGACY, GAIN, SHARE, EXPANDED, MIXED = 1.0, 2.5, 3.5, 0.35, 8, 2.0
+STEP, STEP_LEGACY, GAIN, SHARE, EXPANDED, MIXED = 1.0, 1.5, 3.5, 0.25, 8, 2.0
 #: Cost for each character beyond ASCII up to which text is plausible as it stands.
 PLAUSIBLE = 1.15
 
 # A character's class; its weight is the cost of one such character.
 _WEIGHT = {
     "a": 0.0, "A": 0.0, "0": 0.0, ".": 0.0, " ": 0.0, "'": 0.0,
-    "l": 0.9, "L": 1.3, "e": 0.9, "E": 1.3, "c": 0.4, "d": 1.2, "i": 2.4, "C": 0.7, "D": 1.6, "I": 2.8, "j": 2.0, "J": 2.6,
+    "l": 0.9, "L": 1.1, "e": 0.9, "E": 1.1, "c": 0.4, "d": 1.2, "i": 2.4, "C": 0.7, "D": 1.6, "I": 2.8, "j": 2.0, "J": 2.6,
     "g": 0.8, "G": 1.2, "y": 2.5, "h": 1.1, "H": 3.2, "X": 4.5, "k": 0.9, "K": 3.5, "o": 1.6,
-    "p": 1.0, "b": 0.0, "B": 0.0, "q": 2.0, "s": 2.5, "w": 0.4, "z": 6.0, "f": 7.0, "u": 7.0, "v": 2.0,
+    "p": 1.0, "b": 0.0, "B": 0.0, "q": 2.0, "s": 2.5, "w": 0.4, "z": 6.0, "f": 7.0, "u": 7.0, "v": 2.0, ",": 0.5,
 }
 _LETTERS = "aAlLeEcdiCDIjJgGyhHXkKo"  # classes of letters
 _LATIN, _CYR, _GREEK, _EAST = "aAlLeE", "cdiCDIjJ", "gGy", "hHXkKo"
@@ -56,6 +56,8 @@ _PAIRS = [
     (re.compile(f"(?=[{_LATIN}][{_CYR}{_GREEK}]|[{_CYR}][{_LATIN}{_GREEK}]|[{_GREEK}][{_LATIN}{_CYR}])"), 4.0),
     (re.compile("(?=[aAlLeE][hHXkKo]|[hHXkKo][lLeE])"), 1.0),
     (re.compile("(?=[ale][LE])"), 3.0),
+    (re.compile("(?=[AL][le][AL])"), 3.0),
+    (re.compile("(?=[le]A)"), 2.0),
     (re.compile("(?=[LE][psbwzv])"), 4.0),
     (re.compile(f"(?=[{_LETTERS}][sbzfv][{_LETTERS}])"), 3.0),
     (re.compile("(?=[lecdg][sbzv]|[sbzv][ale])"), 1.5),
@@ -143,7 +145,7 @@ def _class_of(c: str) -> str:
             return "H" if _level(c, "gb2312", 56, 87, 0xA0) or _level(c, "euc-jp", 48, 84, 0xA0) else "X"
         return "y" if n < 0x600 else "v"
     if 0x3000 <= n < 0x3040 or 0xFF00 <= n < 0xFF61:
-        return "p"
+        return ","
     if 0x2500 <= n < 0x25A0:
         return "q"
     return "s" if n < 0x2600 else "v"
@@ -215,6 +217,7 @@ def neighbours(text: str, legacy: bool) -> Iterator[tuple[float, str, str]]:
         plain = html.unescape(text)
         if plain != text:
             yield STEP, "unescape", plain
+            legacy = legacy and plain.isascii()  # what is still escaped is no text to judge yet
     foreign, raws = frozenset(_FOREIGN.findall(text)), {}
     for read in READ_AS:
         raw = _encoded(text, foreign, read)
@@ -239,7 +242,8 @@ def neighbours(text: str, legacy: bool) -> Iterator[tuple[float, str, str]]:
 def search(text: str) -> tuple[str, tuple[str, ...]]:
     """The cheapest text in reach of `text` and the operations that lead there, none where `text` is it.
 
-    A plausible state is left only by bytes that turn out to be UTF-8, which good text hardly ever forms by chance.
+    A plausible state is left only by bytes that turn out to be UTF-8, which good text hardly ever forms by chance; so is
+    one that was reached that way.
     """
     start = cost(text)
     best, best_cost, best_path = text, start, ()
@@ -252,16 +256,18 @@ def search(text: str) -> tuple[str, tuple[str, ...]]:
         followed += 1
         if len(path) >= 4:
             continue
-        for step, name, other in neighbours(state, not plausible(state)):
+        for step, name, other in neighbours(state, not plausible(state) and not is_utf8(path)):
             key = hash(other)
             if key in met:
                 continue
             met.add(key)
             n += 1
-            total = cost(other) + spent + step
-            if total < best_cost:
-                best, best_cost, best_path = other, total, (*path, name)
-            heapq.heappush(heap, (total, n, other, (*path, name), spent + step))
+            reached = cost(other) + spent + step
+            if reached < best_cost:
+                best, best_cost, best_path = other, reached, (*path, name)
+            # Unescaping shows characters that were hidden, so what it gives is looked at before it is judged.
+            rank = total + step if name == "unescape" else reached
+            heapq.heappush(heap, (rank, n, other, (*path, name), spent + step))
     return best, best_path
 
 
@@ -295,9 +301,23 @@ LETTERS = 3
 _WORDS = re.compile(f"[{_LETTERS}]{{2,}}|b{{2,}}")
 
 
-def _shown(run: str, restored: str, context: str) -> bool:
-    """Whether the text holds the garbled run beside its restored form: then it is an example."""
-    return restored != run and restored in context
+_QUOTES = "\"'`"
+
+
+def _exhibits(line: str, around: str) -> bool:
+    """Whether every run beyond ASCII that could be restored is shown as an example: it fills a pair of quotes, or stands
+    quoted or with an arrow or sign of equality next to its right form."""
+    some, context = False, around + line
+    for run in dict.fromkeys(re.findall(r"[^\x00-\x7f]+", line)):
+        right, path = search(run)
+        if not is_utf8(path) or right == run:
+            continue
+        quoted = any(f"{q}{run}{q}" in line for q in _QUOTES)
+        pair = any(f"{a}{b}{x}{c}" in context for a, c in ((run, right), (right, run)) for b in ("", " ") for x in ("-> ", "→ ", "=> ", "= ", "== "))
+        if not quoted and not pair:
+            return False
+        some = True
+    return some
 
 
 def repaired_line(line: str, around: str = "") -> tuple[str, list[str]]:
@@ -310,7 +330,7 @@ def repaired_line(line: str, around: str = "") -> tuple[str, list[str]]:
         return line, []
     found, path = search(line)
     if accepted(line, found, path):
-        return found, [" ".join(path)]
+        return (line, []) if _exhibits(line, around) else (found, [" ".join(path)])
     ways, out = [], line
     if plausible(line) and not _LOST.search(line):
         return line, []
@@ -318,11 +338,9 @@ def repaired_line(line: str, around: str = "") -> tuple[str, list[str]]:
         if token.isascii():
             continue
         found, path = search(token)
-        if accepted(token, found, path) and all(x.endswith("utf-8") for x in path):
-            run = "".join(re.findall(r"[^\x00-\x7f]+", token))
-            if not _shown(run, search(run)[0], around + line):
-                out = out.replace(token, found)
-                ways.append(" ".join(path))
+        if accepted(token, found, path) and is_utf8(path) and not _exhibits(token, around + line):
+            out = out.replace(token, found)
+            ways.append(" ".join(path))
     if not ways and _LOST.search(line):
         ways.append("lost")
     return out, ways
@@ -336,7 +354,8 @@ def repaired(text: str | None) -> tuple[str | None, list[str]]:
     if text is None or text.isascii():
         return text, []
     lines, ways = text.split("\n"), []
-    weak: dict[tuple[str, ...], dict[str, tuple[float, int]]] = {}
+    weak: dict[tuple[str, ...], None] = {}
+    weak_lines: dict[str, None] = {}
     for i, line in enumerate(lines):
         if not line.isascii():
             around = "\n".join([*lines[max(0, i - 1) : i], *lines[i + 1 : i + 2]]) + "\n"
@@ -344,15 +363,28 @@ def repaired(text: str | None) -> tuple[str | None, list[str]]:
             ways += more
             if not more and not plausible(line):
                 found, path = search(line)
-                if (w := weight(line, found, path))[1]:
-                    weak.setdefault(path, {})[line] = w
-    for path, held in weak.items():
-        if len(held) > 1 and sum(g for g, _ in held.values()) >= 2 * GAIN and sum(n for _, n in held.values()) >= 2 * LETTERS:
-            lines = [search(x)[0] if x in held else x for x in lines]
+                weak_lines[line] = None
+                if len(path) == 1 and weight(line, found, path)[1]:
+                    weak[path] = None
+    for path in weak:
+        held = {x: (y, w) for x in weak_lines if (y := step_of(x, path[0])) and (w := weight(x, y, path))[1]}
+        if len(held) > 1 and sum(g for _, (g, _) in held.values()) >= 1.5 * GAIN and sum(n for _, (_, n) in held.values()) >= 2 * LETTERS:
+            lines = [held[x][0] if x in held else x for x in lines]
             ways.append(" ".join(path))
+            break
     return "\n".join(lines), ways
 
 
+def step_of(text: str, name: str) -> str | None:
+    """What one operation by name, such as 'cp1252>cp1250', makes of the text."""
+    read, _, written = name.partition(">")
+    raw = _encoded(text, frozenset(_FOREIGN.findall(text)), read) if written else None
+    try:
+        return raw.decode(written) if raw is not None else None
+    except UnicodeDecodeError:
+        return None
+
+
 def _run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids, texts, ways = [], [], []
