@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tidelog.functions.names import file_number, plain_name
 from tidelog.functions.sqltext import truncated
-from tidelog.session import bounded, kept
+from tidelog.session import bounded, kept, spread
 from tidelog.store.publish import Published
 
 WRITE, DELETE, TRUNCATE = 1, 2, 3
@@ -144,7 +144,7 @@ def changes(log: DataFrame, layouts: DataFrame, payload: bool = False) -> DataFr
         "records",
     ).where("file_no IS NOT NULL AND log_pos IS NOT NULL")
     rows = (
-        placed.where(F.col("event_type").isin(WRITE, DELETE))
+        spread(placed.where(F.col("event_type").isin(WRITE, DELETE)))
         .join(bounded(keyed), "table_name")
         .select("*", F.posexplode(F.from_json("records", "array<array<string>>")).alias("row_no", "row"))
         .where("row IS NOT NULL")

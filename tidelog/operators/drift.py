@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelog.functions.names import plain_name, plain_type
-from tidelog.session import kept
+from tidelog.session import all_kept, kept
 
 FILE = ["db_name", "table_name", "file_no"]
 _MAP = "map<string,string>"
@@ -161,9 +161,9 @@ def _renames(pairs: DataFrame, records: DataFrame) -> DataFrame:
     records = records.where("id IS NOT NULL")
     later = ingest(records, pairs.select(*FILE, F.col("old_fields").alias("fields"))).join(pairs.select(*FILE, "new"), FILE)
     picked = lambda names, fields: F.explode(F.transform(names, lambda n: F.struct(n.alias("name"), F.try_element_at(fields, n).alias("value")))).alias("f")
-    new_side = kept(later.withColumn("held", F.from_json("rescued", _MAP)).select(*FILE, "id", picked("new", "held")), "new-side")
+    new_side = later.withColumn("held", F.from_json("rescued", _MAP)).select(*FILE, "id", picked("new", "held"))
     earlier = records.withColumn("file_no", F.col("file_no") + 1).join(pairs.select(*FILE, "gone"), FILE)
-    old_side = kept(earlier.select(*FILE, "id", picked("gone", "fields")), "old-side")
+    new_side, old_side = all_kept((new_side, "new-side"), (earlier.select(*FILE, "id", picked("gone", "fields")), "old-side"))
     once = lambda df: df.select(*FILE, "id").distinct()
     both = kept(once(new_side).intersect(once(old_side)), "shared-ids")
 
@@ -188,7 +188,7 @@ def changes(raw_structures: DataFrame, raw_rows: DataFrame) -> tuple[DataFrame,
     key_changed), field_name, before, after. A file whose predecessor is missing is compared with nothing. A field with
     no value in common records is a rename only if both sides have none; without a common record there is no rename.
     """
-    s = kept(structures(raw_structures), "structures")
+    s, records = all_kept((structures(raw_structures), "structures"), (file_records(raw_rows), "records"))
     before = s.select("db_name", "table_name", (F.col("file_no") + 1).alias("file_no"), F.col("fields").alias("old_fields"), F.col("key").alias("old_key"))
     names = lambda c: F.transform(c, lambda f: f["name"])
     pairs = s.join(before, FILE).withColumns(
@@ -198,7 +198,7 @@ def changes(raw_structures: DataFrame, raw_rows: DataFrame) -> tuple[DataFrame,
         }
     )
     pairs = kept(pairs, "file-pairs")
-    renames = kept(_renames(pairs, kept(file_records(raw_rows), "records")), "renames")
+    renames = kept(_renames(pairs, records), "renames")
     known = renames.groupBy(*FILE).agg(F.collect_list(F.struct("old_name", "name", "old_type", "type")).alias("moved"))
     full = pairs.join(known, FILE, "left").withColumn(
         "moved", F.coalesce("moved", F.expr("array()").cast("array<struct<old_name:string,name:string,old_type:string,type:string>>"))

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tidelog.functions import field61
 from tidelog.functions.names import plain_name
-from tidelog.session import bounded, kept
+from tidelog.session import all_kept, bounded, kept
 
 #: Rows a bucket is sized for, the first degree bound, the points beyond the bound that verify it, buckets in a group.
 BUCKET_ROWS, FIRST_DEGREE, CHECKS, GROUP = 24, 8, 2, 2048
@@ -156,7 +156,7 @@ def differing_hashes(a: DataFrame, b: DataFrame, buckets: int) -> DataFrame:
         open_ = result.where("side = '?'").select("bucket")
         if not open_.limit(1).count():
             break
-        a, b = (kept(x.join(open_, "bucket", "left_semi"), "open-buckets") for x in (a, b))
+        a, b = all_kept(*[(x.join(open_, "bucket", "left_semi"), "open-buckets") for x in (a, b)])
         if bound >= LAST_DEGREE:
             parts += [x.join(y, ["bucket", "hash"], "left_anti").select("bucket", F.lit(s).alias("side"), "hash") for x, y, s in ((a, b, "a"), (b, a, "b"))]
             break
@@ -173,7 +173,7 @@ def differences(a: DataFrame, b: DataFrame, names: tuple[str, str] = ("missing_i
     A key on one side only gives one row, whose field_name is names[0] where a lacks it and names[1] where b does. Else
     each field whose values differ gives a row; null equals only null. Two empty sides give no row.
     """
-    a, b = kept(a, "side-a"), kept(b, "side-b")
+    a, b = all_kept((a, "side-a"), (b, "side-b"))
     buckets = max(1, -(-max(a.count(), b.count()) // BUCKET_ROWS))
     a, b = _hashed(a, buckets), _hashed(b, buckets)
     found = kept(differing_hashes(a, b, buckets), "found")

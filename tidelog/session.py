@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,6 +52,12 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
 _LOCAL: dict[str, str] = {}
 
 
+def all_kept(*frames: tuple[DataFrame, str]) -> list[DataFrame]:
+    """kept() for several independent frames at once, so that one's tail doesn't leave cores idle."""
+    with ThreadPoolExecutor(len(frames)) as pool:
+        return list(pool.map(lambda x: kept(*x), frames))
+
+
 def kept(df: DataFrame, purpose: str) -> DataFrame:
     """df written to the shared folder and read again: lineage ends here and a lost executor costs nothing."""
     path = shared_dir(df.sparkSession, purpose)
@@ -58,6 +65,15 @@ def kept(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df over as many tasks as there are cores, where its scan has fewer: small inputs with costly rows.
+
+    A scan of many splits, as any large input has, is left as it is and costs no shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df._jdf.queryExecution().toRdd().getNumPartitions() < cores else df
+
+
 def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """df with a broadcast hint if it was counted to have at most `rows` rows, else df as it is.
 
