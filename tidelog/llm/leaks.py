@@ -21,6 +21,8 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidelog.session import spread
+
 #: Words of a window and of a shingle, bits that may differ, bits of a fingerprint.
 WINDOW, SHINGLE, RADIUS, BITS = 25, 5, 2, 64
 #: Words of items that one pass may hold (16 bytes a word travel to each task); more items take more passes.
@@ -216,7 +218,7 @@ def leaks(docs: DataFrame, items: DataFrame, exact: bool = True, least: float =
     each; pairs come once. The items are read in parts of PASS_WORDS words; documents are never moved.
     """
     spark = docs.sparkSession
-    slim = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text")).where("text IS NOT NULL")
+    slim = spread(docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text")).where("text IS NOT NULL"))
     sized = items.select("item_id", F.col("item_text").cast("string").alias("item_text"), F.size(F.split("item_text", "[^A-Za-z0-9]+")).alias("n"))
     schema = f"doc_id {dict(slim.dtypes)['doc_id']}, item_id bigint, similarity double"
     found, part, held = None, [], 0

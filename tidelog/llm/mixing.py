@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.session import bounded, kept
+from tidelog.session import bounded, kept, spread
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Fixed value: how byte-level BPE of this vocabulary cuts a text before merging.
@@ -59,7 +59,7 @@ def _counter(path: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
 
 def token_counts(docs: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
     """(doc_id, source, tokens): tokens of the whole text; 0 for null and empty texts. source is plain_source()."""
-    slim = docs.select("doc_id", plain_source("source").alias("source"), F.col("text").cast("string").alias("text"))
+    slim = spread(docs.select("doc_id", plain_source("source").alias("source"), F.col("text").cast("string").alias("text")))
     return slim.mapInArrow(_counter(tokenizer), f"doc_id {dict(slim.dtypes)['doc_id']}, source string, tokens bigint")
 
 

@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidelog.session import spread
+
 #: Encodings that bytes are wrongly read in, and encodings that text is written in besides UTF-8.
 READ_AS = ("cp1252", "latin-1", "cp1250", "cp1251", "cp1253", "cp1254", "cp437", "cp850", "cp866", "koi8-r", "mac-roman", "gbk", "cp932", "big5")
 WRITTEN_IN = ("cp1251", "koi8-r", "cp866", "gbk", "cp932", "euc-jp", "big5", "euc-kr", "cp1252", "cp1250", "cp1253", "cp1254",
@@ -405,5 +407,5 @@ def garbled(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     (no wrong decoding leaves ASCII alone, so these never reach Python). Repeated rows give repeated rows; extra columns
     are ignored. There is no shuffle: each document is judged by its own characters.
     """
-    foreign = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text")).where(F.col("text").rlike(r"[^\x00-\x7F]"))
+    foreign = spread(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text")).where(F.col("text").rlike(r"[^\x00-\x7F]")))
     return foreign.mapInArrow(_run, f"doc_id {dict(foreign.dtypes)['doc_id']}, restored string, ways array<string>")
