@@ -211,14 +211,15 @@ def apply_changes(feed: DataFrame, root: str, buckets: int | None = None) -> Dat
     # The newest marker of a table goes to every bucket: rows are tables times buckets, whatever the size of the feed.
     newest = F.max(F.struct("file_no", "log_pos", "row_no", "kind", "payload")).alias("m")
     markers = reduced.where(F.col("kind") == TRUNCATE).groupBy("db_name", "table_name", "record_key").agg(newest)
-    spread = (
+    placed = (
         reduced.where(F.col("kind") != TRUNCATE)
         .withColumn("bucket", _bucket(buckets))
         .unionByName(
             markers.select("db_name", "table_name", "record_key", "m.*", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))).alias("bucket"))
         )
     )
-    result = spread.groupBy("bucket").applyInArrow(_apply_bucket, STATE)
+    # By number, so that small buckets aren't put together into long tasks.
+    result = placed.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_apply_bucket, STATE)
     version = store.stage()
     result.write.parquet(f"{store.root}/{version}")
     store.publish(version, buckets=buckets)
