@@ -43,3 +43,4 @@ def test_batches_add_each_message_once(spark):
     assert m.append_new(log(spark, ROWS[:4]), root).count() == 2
     assert m.append_new(log(spark, ROWS[:4]), root).count() == 0
     assert {r.source_id for r in m.append_new(log(spark, ROWS[2:7]), root).collect()} == {"b", "c"}
+    assert m.append_new(log(spark, ROWS), root).count() == 1 and m.append_new(log(spark, ROWS[::-1]), root).count() == 0

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelog.functions.names import file_number
+from tidelog.session import bounded, kept
 from tidelog.store.publish import Published
 
 MESSAGE = ("source_id", "file_no", "log_pos")
@@ -55,19 +56,25 @@ def repeated_messages(log: DataFrame) -> DataFrame:
 def append_new(batch: DataFrame, root: str) -> DataFrame:
     """Adds the messages of batch that the store at root doesn't hold yet; returns those added.
 
-    The store keeps the identifiers seen so far, published version by version, so a batch that is delivered or
-    processed twice adds nothing the second time.
+    The store keeps the identifiers seen so far, a folder per batch, all of them named by its pointer, so a batch that is
+    delivered or processed twice adds nothing the second time. A batch reads the identifiers but writes only its own;
+    where its keys can be broadcast, the store isn't shuffled. Null identifiers are equal to each other.
     """
     spark = batch.sparkSession
     store = Published(spark, root)
-    fresh, seen = first_copies(batch), store.read()
-    if seen is not None:
-        fresh = fresh.join(seen, list(MESSAGE), "left_anti")
+    now, fresh = store.current(), first_copies(batch)
+    parts = now["parts"] if now else []
     version = store.stage()
-    path = f"{store.root}/added-{version}"
-    fresh.write.parquet(path)
-    added = spark.read.schema(fresh.schema).parquet(path)
-    known = added.select(*MESSAGE)
-    (known if seen is None else seen.unionByName(known)).write.parquet(f"{store.root}/{version}")
-    store.publish(version)
+    path = f"{store.root}/{version}"
+    if parts:
+        same = lambda a, b: [a[k].eqNullSafe(b[k]) for k in MESSAGE]
+        fresh = kept(fresh, "first-copies")
+        seen = spark.read.parquet(*[f"{store.root}/{p}/ids" for p in parts])
+        keys = bounded(fresh.select(*MESSAGE))
+        met = seen.join(keys, same(seen, keys), "left_semi").select(*[F.col(k).alias(f"_{k}") for k in MESSAGE])
+        fresh = fresh.join(met, [fresh[k].eqNullSafe(met[f"_{k}"]) for k in MESSAGE], "left_anti")
+    fresh.write.parquet(f"{path}/rows")
+    added = spark.read.schema(fresh.schema).parquet(f"{path}/rows")
+    added.select(*MESSAGE).write.parquet(f"{path}/ids")
+    store.publish(version, parts=[*parts, version])
     return added

@@ -36,20 +36,24 @@ def session(app: str = "tidelog", cores: int | str = "*", **conf: str) -> SparkS
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A new path under the folder named by spark.checkpoint.dir, which every executor can read.
 
-    Only where that setting is absent (a local session, as in tests) is a folder of this machine chosen.
+    Only where that setting is absent (a local session, as in tests) is a folder of this machine chosen. What an
+    application wrote there is deleted when its driver's JVM ends.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = _LOCAL.get(spark.sparkContext.applicationId)
-        if root is None:
+    app = spark.sparkContext.applicationId
+    if app not in _FOLDERS:
+        root = spark.conf.get("spark.checkpoint.dir", None)
+        if not root:
             if not spark.sparkContext.master.startswith("local"):
                 raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             root = "file://" + tempfile.mkdtemp(prefix="tidelog-")
-            _LOCAL[spark.sparkContext.applicationId] = root
-    return f"{root.rstrip('/')}/tidelog/{purpose}-{uuid.uuid4().hex}"
+        folder = f"{root.rstrip('/')}/tidelog/{app}"
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
+        _FOLDERS[app] = folder
+    return f"{_FOLDERS[app]}/{purpose}-{uuid.uuid4().hex}"
 
 
-_LOCAL: dict[str, str] = {}
+_FOLDERS: dict[str, str] = {}
 
 
 def all_kept(*frames: tuple[DataFrame, str]) -> list[DataFrame]:

@@ -69,12 +69,13 @@ class Published:
         return None if now is None else self.spark.read.parquet(f"{self.root}/{now['version']}")
 
     def vacuum(self) -> int:
-        """Removes versions the pointer doesn't name. Call it when no reader still uses one. Returns how many."""
+        """Removes versions that the pointer names neither as the current one nor among its parts. Call it when no reader
+        still uses one. Returns how many."""
         now, fs, gone = self.current(), self._fs(), 0
         if now is None:
             return 0
         for entry in fs.listStatus(self._path()):
             name = entry.getPath().getName()
-            if name.startswith("v-") and name != now["version"]:
+            if name.startswith("v-") and name not in (now["version"], *now.get("parts", ())):
                 gone += bool(fs.delete(entry.getPath(), True))
         return gone
