@@ -48,7 +48,9 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
             root = "file://" + tempfile.mkdtemp(prefix="tidelog-")
         folder = f"{root.rstrip('/')}/tidelog/{app}"
         path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(path)
+        fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
         _FOLDERS[app] = folder
     return f"{_FOLDERS[app]}/{purpose}-{uuid.uuid4().hex}"
 
