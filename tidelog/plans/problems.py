@@ -148,7 +148,38 @@ met AS (SELECT coalesce(a.db, b.db) AS db_name, coalesce(a.tbl, b.tbl) AS table_
     FROM source a FULL JOIN target b ON a.db = b.db AND a.tbl = b.tbl AND a.record_key = b.record_key)
 SELECT db_name, table_name, record_key, unnest(names) AS field_name FROM met"""
 
+_P4 = f"""
+WITH s AS (SELECT {_plain("db_name")} AS db, {_plain("table_name")} AS tbl, file_no, table_fields, primary_keys FROM table_structures),
+files AS (SELECT DISTINCT db, tbl, file_no, list_transform(primary_keys, lambda p: {_plain("p")}) AS pk FROM s),
+f AS (SELECT DISTINCT db, tbl, file_no, {_plain("x.field_name")} AS name, regexp_replace(lower(x.field_type), '\\s+', '', 'g') AS typ
+    FROM (SELECT db, tbl, file_no, unnest(table_fields) AS x FROM s)),
+old AS (SELECT db, tbl, file_no + 1 AS file_no, name, typ FROM f),
+gone AS (SELECT o.* FROM old o JOIN files USING (db, tbl, file_no) LEFT JOIN f USING (db, tbl, file_no, name) WHERE f.typ IS NULL),
+fresh AS (SELECT f.* FROM f JOIN (SELECT DISTINCT db, tbl, file_no FROM old) USING (db, tbl, file_no) LEFT JOIN old USING (db, tbl, file_no, name) WHERE old.typ IS NULL),
+keys AS (SELECT DISTINCT {_plain("db_name")} AS db, {_plain("table_name")} AS tbl, file_no, line_no, payload, unnest(json_keys(payload)) AS k FROM file_rows),
+v AS (SELECT db, tbl, file_no, line_no, {_plain("k")} AS name, json_extract_string(payload, '$."' || k || '"') AS val FROM keys),
+ids AS (SELECT db, tbl, file_no, line_no, val AS id FROM v WHERE name = 'id' AND val IS NOT NULL),
+held AS (SELECT ids.db, ids.tbl, ids.file_no, id, name, val FROM v JOIN ids USING (db, tbl, file_no, line_no)),
+shared AS (SELECT DISTINCT a.db, a.tbl, a.file_no, a.id FROM ids a JOIN ids b ON a.db = b.db AND a.tbl = b.tbl AND a.id = b.id AND b.file_no = a.file_no - 1),
+pairs AS (SELECT g.db, g.tbl, g.file_no, g.name AS old_name, n.name, g.typ AS old_typ, n.typ FROM gone g JOIN fresh n USING (db, tbl, file_no)),
+judged AS (SELECT p.db, p.tbl, p.file_no, p.old_name, p.name, p.old_typ, p.typ, bool_and(a.val IS NOT DISTINCT FROM b.val) AS same FROM pairs p JOIN shared i USING (db, tbl, file_no)
+    LEFT JOIN held a ON a.db = p.db AND a.tbl = p.tbl AND a.file_no = p.file_no AND a.id = i.id AND a.name = p.name
+    LEFT JOIN held b ON b.db = p.db AND b.tbl = p.tbl AND b.file_no = p.file_no - 1 AND b.id = i.id AND b.name = p.old_name GROUP BY ALL),
+moved AS (SELECT * FROM judged WHERE same),
+pk AS (SELECT n.db, n.tbl, n.file_no, n.pk, list(coalesce(m.name, u.k) ORDER BY u.i) AS was FROM files n
+    JOIN (SELECT db, tbl, file_no + 1 AS file_no, unnest(pk) AS k, unnest(range(len(pk))) AS i FROM files) u USING (db, tbl, file_no)
+    LEFT JOIN moved m ON m.db = n.db AND m.tbl = n.tbl AND m.file_no = n.file_no AND m.old_name = u.k GROUP BY ALL),
+every AS (
+    SELECT db, tbl, file_no, 'added' AS change_kind, name FROM fresh ANTI JOIN moved USING (db, tbl, file_no, name)
+    UNION ALL SELECT g.db, g.tbl, g.file_no, 'removed', g.name FROM gone g LEFT JOIN moved m ON m.db = g.db AND m.tbl = g.tbl AND m.file_no = g.file_no AND m.old_name = g.name WHERE m.db IS NULL
+    UNION ALL SELECT db, tbl, file_no, 'renamed', name FROM moved
+    UNION ALL SELECT db, tbl, file_no, 'type_changed', name FROM moved WHERE typ <> old_typ
+    UNION ALL SELECT f.db, f.tbl, f.file_no, 'type_changed', f.name FROM f JOIN old USING (db, tbl, file_no, name) WHERE f.typ <> old.typ
+    UNION ALL SELECT db, tbl, file_no, 'key_changed', array_to_string(pk, ',') FROM pk WHERE pk <> was)
+SELECT db AS db_name, tbl AS table_name, file_no, change_kind, name AS field_name FROM every"""
+
 ORACLE = {
+    "p4_found": _P4,
     "p1_found": _P1,
     "p2_found": _P2_RANKED + " SELECT source_id, file_no, log_pos FROM ranked WHERE n = 2",
     "p2_first_copies": _P2_RANKED + " SELECT source_id, file_no, log_pos, delivery_no, batch_no, event_type, records FROM ranked WHERE n = 1",
