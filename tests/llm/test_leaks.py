@@ -92,3 +92,43 @@ def test_near_passages_are_verified(spark):
     assert got == {1: 1.0, 2: 1.0}  # 40 words in a row stand unchanged
     a, b = (L.word_hashes([t])[0] for t in ("a b c d e f g h", "a b c d e f g x"))
     assert L.similarity(a, b) == 3 / 5 and L.similarity(a, a) == 1.0 and L.similarity(a[:3], a) == 0.0
+
+
+def brute_near(docs, items, least=0.8, w=L.WINDOW):
+    windows = lambda t: [h[k : k + w] for h in [L.word_hashes([t])[0]] for k in range(len(h) - w + 1)]
+    out = {}
+    for i, t in items:
+        for j, u in docs:
+            s = max((L.similarity(a, b) for a in windows(u) for b in windows(t)), default=0.0)
+            if s >= least:
+                out[(j, i)] = s
+    return out
+
+
+def altered(rng, text, every):
+    """The text with a word replaced after each run of `every`."""
+    w = text.split()
+    for k in range(rng.randrange(every + 1), len(w), every + 1):
+        w[k] = f"x{k}"
+    return " ".join(w)
+
+
+@pytest.mark.parametrize("part", [40, 1 << 17])
+def test_near_against_brute_force(spark, monkeypatch, part):
+    monkeypatch.setattr(L, "_PART", part)
+    rng = random.Random(6)
+    items = [(i, sentence(rng, rng.choice([24, 25, 26, 50]))) for i in range(8)] + [(8, "a b " * 20 + "c"), (9, "0 " * 40)]
+    docs = [(10 * n + i, altered(rng, t, n)) for n in (20, 22, 23) for i, t in items]
+    docs += [(900, "a b " * 30), (901, "0 " * 27 + "1 " + "0 " * 12), (902, sentence(rng, 60)), (903, "b a " * 11 + "c a b a"), (904, None)]
+    want = brute_near(docs, items)
+    assert {(r.doc_id, r.item_id): r.similarity for r in L.leaks(*frames(spark, docs, items), exact=False).collect()} == want
+    assert any(s < 1 for s in want.values())
+
+
+def test_near_recall_on_runs_of_23_and_24_words():
+    rng = random.Random(7)
+    items = [(i, sentence(rng, 100)) for i in range(100)]
+    index = L.ItemIndex.build(items)
+    for every in (23, 24):
+        found = {(t, k) for t, k, s in L.matches(index, [altered(rng, t, every) for _, t in items], False, 0.8)}
+        assert {(i, i) for i in range(100)} <= found

@@ -5,12 +5,17 @@ fingerprint is the SimHash of its word shingles. Fingerprints are split into blo
 fingerprints within that radius agree in at least one whole block, so looking up a document window's blocks among those
 of the items' windows finds every pair within the radius. Each such pair is then verified on the words themselves.
 
+Windows that are only similar may differ in many bits of their fingerprints, so these are looked up by their shingles
+instead: the similarity asked for says how many shingles a pair shares, so document windows with fewer shingles that
+occur in any item are out, and of the others a few rare shingles are enough to meet each similar item window.
+
 The items are a stated, small set: their index is a few arrays that every task gets, after its size was checked. Larger
 sets are taken in parts of bounded size, a pass over the documents each, so no pair is lost.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
@@ -99,6 +104,51 @@ def fingerprints(h: np.ndarray, window: int = WINDOW, size: int = SHINGLE) -> np
     return np.packbits(ones * kind(2) > kind(span), axis=1).view(np.uint64).ravel()
 
 
+def _expanded(lo: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(i, lo[i] + step) for each i and each step below count[i]."""
+    who = np.repeat(np.arange(len(lo)), count)
+    return who, np.repeat(lo, count) + np.arange(len(who)) - np.repeat(np.cumsum(count) - count, count)
+
+
+def _span_sums(values: np.ndarray, span: int) -> np.ndarray:
+    sums = np.concatenate((np.zeros(1, values.dtype), np.cumsum(values, dtype=values.dtype)))
+    return sums[span:] - sums[:-span]
+
+
+class ShingleLookup:
+    """The places of each shingle of the items, and for each place the item windows that hold it."""
+
+    def __init__(self, index: ItemIndex) -> None:
+        self.span = index.window - SHINGLE + 1
+        self.shingles = shingle_hashes(index.hashes)
+        inside = np.zeros(len(self.shingles), bool)
+        if len(index.at):
+            edges = np.zeros(len(self.shingles) + 1, np.int64)
+            np.add.at(edges, index.at, 1)
+            np.add.at(edges, index.at + self.span, -1)
+            inside = np.cumsum(edges)[:-1] > 0
+            # Of an item's windows with the same shingles one is enough.
+            sums = _span_sums(self.shingles, self.span)[index.at]
+            _, first = np.unique(np.stack([index.item.astype(np.uint64), sums], axis=1), axis=0, return_index=True)
+            self.windows = np.sort(first)
+        else:
+            self.windows = np.empty(0, np.int64)
+        self.at = index.at[self.windows]
+        places = np.flatnonzero(inside)
+        self.order = places[np.argsort(self.shingles[places], kind="stable")]
+        self.keys = self.shingles[self.order]
+        self.held = np.zeros(1 << 24, bool)
+        self.held[self.keys & np.uint64(0xFFFFFF)] = True
+
+    def counts(self, shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(where its places begin in `order`, how many they are) of each shingle."""
+        lo, count = np.zeros(len(shingles), np.int64), np.zeros(len(shingles), np.int64)
+        maybe = np.flatnonzero(self.held[shingles & np.uint64(0xFFFFFF)])
+        lo[maybe] = np.searchsorted(self.keys, shingles[maybe], side="left")
+        count[maybe] = np.searchsorted(self.keys, shingles[maybe], side="right") - lo[maybe]
+        return lo, count
+
+
 @dataclass
 class ItemIndex:
     """Windows of items; the lookup of their fingerprints' blocks is built where it is first used."""
@@ -111,6 +161,7 @@ class ItemIndex:
     radius: int = RADIUS
     window: int = WINDOW
     tables: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = field(default_factory=list)
+    lookup: ShingleLookup | None = None
 
     @staticmethod
     def build(items: list[tuple[int, str | None]], window: int = WINDOW, radius: int = RADIUS) -> ItemIndex:
@@ -160,6 +211,66 @@ def similarity(a: np.ndarray, b: np.ndarray, size: int = SHINGLE) -> float:
     return both / total if total else 0.0
 
 
+#: Pairs of windows that are compared at once.
+_PAIRS = 1 << 12
+
+
+def _shared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """How many shingles the rows of a and b share pairwise, each as often as both have it."""
+    earlier = np.tril(np.ones((a.shape[1], a.shape[1]), bool), -1)
+    nth = ((a[:, :, None] == a[:, None, :]) & earlier).sum(axis=2)
+    return (nth < (a[:, :, None] == b[:, None, :]).sum(axis=2)).sum(axis=1)
+
+
+def near(index: ItemIndex, part: np.ndarray, text: np.ndarray, whole: np.ndarray, least: float, best: dict[tuple[int, int], float]) -> None:
+    """Raises best[text, item] to the similarity of their most similar windows, where that is at least `least`.
+
+    part: word hashes; text: of each window of it the text; whole: whether it lies within one text. Nothing is missed:
+    two windows of n shingles with similarity s share at least 2ns / (1 + s) of them.
+    """
+    if index.lookup is None:
+        index.lookup = ShingleLookup(index)
+    look = index.lookup
+    shingles, span = shingle_hashes(part), look.span
+    if len(shingles) < span or not len(look.at):
+        return
+    need = max(1, math.ceil(2 * span * least / (1 + least) - 1e-9))
+    lo, count = look.counts(shingles)
+    known = _span_sums((count > 0).astype(np.int64), span)
+    at = np.flatnonzero((known >= need) & whole)
+    if not len(at):
+        return
+    _, first = np.unique(np.stack([text[at].astype(np.uint64), _span_sums(shingles, span)[at]], axis=1), axis=0, return_index=True)
+    at = at[np.sort(first)]
+    steps = np.arange(span)
+    for start in range(0, len(at), 256):
+        mine = at[start : start + 256]
+        # Of the shingles that items have, all but need - 1 are looked up, the rarest: a similar window has one of them.
+        held = count[mine[:, None] + steps]
+        rare = np.argsort(np.where(held > 0, held, np.iinfo(np.int64).max), axis=1, kind="stable")
+        taken = np.arange(span) < (known[mine] - need + 1)[:, None]
+        row, col = np.nonzero(taken)
+        place = mine[row] + rare[row, col]
+        for a in range(0, len(place), 64):
+            who, where = _expanded(lo[place[a : a + 64]], count[place[a : a + 64]])
+            who, where = row[a : a + 64][who], look.order[where]
+            begin, end = np.searchsorted(look.at, where - span + 1, side="left"), np.searchsorted(look.at, where, side="right")
+            pair, window = _expanded(begin, end - begin)
+            coded = np.unique(who[pair].astype(np.int64) * len(look.at) + window)
+            doc, window = mine[coded // len(look.at)], coded % len(look.at)
+            item = index.item[look.windows[window]]
+            if best:
+                open_ = np.array([best.get(k, 0.0) < 1.0 for k in zip(text[doc].tolist(), item.tolist(), strict=True)], bool)
+                doc, window, item = doc[open_], window[open_], item[open_]
+            for b in range(0, len(doc), _PAIRS):
+                d, w = doc[b : b + _PAIRS], window[b : b + _PAIRS]
+                both = _shared(shingles[d[:, None] + steps], look.shingles[look.at[w][:, None] + steps])
+                similar = both / (2 * span - both)
+                for k in np.flatnonzero(similar >= least):
+                    key = (int(text[d[k]]), int(item[b + k]))
+                    best[key] = max(best.get(key, 0.0), float(similar[k]))
+
+
 def matches(index: ItemIndex, texts: list[str | None], exact: bool, least: float) -> Iterator[tuple[int, int, float]]:
     """(place of the text, place of the item, best similarity) of each pair with a verified window."""
     hashes, begins = word_hashes(texts)
@@ -168,24 +279,16 @@ def matches(index: ItemIndex, texts: list[str | None], exact: bool, least: float
     for start in range(0, max(0, len(hashes) - w + 1), _PART):
         part = hashes[start : start + _PART + w - 1]
         here, window = index.candidates(fingerprints(part, w))
-        if not len(here):
-            continue
         text = np.searchsorted(begins, here + start, side="right") - 1
-        whole = here + start + w <= begins[text + 1]
-        if exact:
-            whole &= part[here] == index.hashes[index.at[window]]
+        whole = (here + start + w <= begins[text + 1]) & (part[here] == index.hashes[index.at[window]])
         here, window, text = here[whole], window[whole], text[whole]
-        if exact:
-            span = np.arange(w)
-            equal = (part[here[:, None] + span] == index.hashes[index.at[window][:, None] + span]).all(axis=1)
-            best |= dict.fromkeys(zip(text[equal].tolist(), index.item[window[equal]].tolist(), strict=True), 1.0)
-            continue
-        for i, v, t in dict.fromkeys(zip(here.tolist(), window.tolist(), text.tolist(), strict=True)):
-            pair = (t, int(index.item[v]))
-            if best.get(pair, 0.0) < 1.0:
-                s = similarity(part[i : i + w], index.hashes[index.at[v] : index.at[v] + w])
-                if s >= max(least, best.get(pair, 0.0)):
-                    best[pair] = s
+        span = np.arange(w)
+        equal = (part[here[:, None] + span] == index.hashes[index.at[window][:, None] + span]).all(axis=1)
+        best |= dict.fromkeys(zip(text[equal].tolist(), index.item[window[equal]].tolist(), strict=True), 1.0)
+        if not exact:
+            at = np.arange(start, start + len(part) - w + 1)
+            text = np.searchsorted(begins, at, side="right") - 1
+            near(index, part, text, at + w <= begins[text + 1], least, best)
     for (t, k), s in best.items():
         yield t, k, s
 
@@ -212,8 +315,9 @@ def _scan(shared: Broadcast, exact: bool, least: float) -> Callable[[Iterator[pa
 def leaks(docs: DataFrame, items: DataFrame, exact: bool = True, least: float = 0.8, window: int = WINDOW, radius: int = RADIUS) -> DataFrame:
     """(doc_id, item_id, similarity) of the documents and items that share a passage of `window` words.
 
-    exact: a window of the item stands in the document word for word (similarity 1); else it is at least `least`
-    similar in its weighted five-word shingles to one whose fingerprint is within `radius` bits; the best is given.
+    exact: a window of the item stands in the document word for word (similarity 1), whose fingerprints are looked up within
+    `radius` bits; else a window of it is at least `least` (above 0) similar to one of the document in its weighted
+    five-word shingles, whatever the fingerprints; the best is given.
     Null and empty texts and texts below `window` words share nothing. Rows with the same doc_id count as one document
     each; pairs come once. The items are read in parts of PASS_WORDS words; documents are never moved.
     """
