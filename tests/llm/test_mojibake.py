@@ -107,3 +107,22 @@ def test_operator(spark):
     assert sorted([r.doc_id for r in got if r.doc_id is not None]) == [1, 1, 7] and len(got) == 4
     assert all(r.restored.endswith(SENTENCES["de"]) and r.ways == ["cp1252>utf-8"] for r in got)
     assert M.garbled(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("bad, right", [("donâ€™t", "don’t"), ("cafÃ©", "café"), ("GrÃ¶ÃŸe", "Größe")])
+@pytest.mark.parametrize("language", ["ru", "el", "zh", "ja"])
+def test_one_garbled_word_in_a_right_line(language, bad, right):
+    good = f"{SENTENCES[language]} {SENTENCES[language]}"
+    assert M.repaired(f"{good} {bad} {good}")[0] == f"{good} {right} {good}"
+    assert M.repaired(f'{{"a":"{good}","b":"{bad}"}}')[0] == f'{{"a":"{good}","b":"{right}"}}'
+
+
+def test_a_legacy_word_in_a_right_line():
+    bad = wrong("неверный", "cp1251", "cp1252")
+    good = SENTENCES["ja"] * 2
+    assert M.repaired(f'{{"a":"{good}","b":"{bad}"}}')[0] == f'{{"a":"{good}","b":"неверный"}}'
+
+
+def test_right_words_that_form_utf8_by_chance():
+    for text in ("Список цен и чем он полезен", "Её нет в списке", "сад, тип, цен, чем, ран"):
+        assert M.repaired(text) == (text, [])

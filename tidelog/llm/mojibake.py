@@ -304,13 +304,24 @@ _WORDS = re.compile(f"[{_LETTERS}]{{2,}}|b{{2,}}")
 
 
 _QUOTES = "\"'`"
+_TOKEN = re.compile(r"[^ \t\r]+")
+_STRETCH = re.compile(r"(?:[A-Za-z]|[^\x00-\x7f]|&(?:#\d+|#x[0-9a-fA-F]+|[A-Za-z]+\d?);)+")
 
 
-def _exhibits(line: str, around: str) -> bool:
+def _one_script(text: str) -> bool:
+    """Whether what text has beyond ASCII are letters of one script other than Latin. Words that are right form UTF-8 by
+    chance in some encoding ('цен' in cp866), so these need more than a small gain, and a word by itself isn't enough to tell
+    one of their legacy encodings from another."""
+    kinds = set("".join(_FOREIGN.findall(text)).translate(_CLASSES))
+    return any(kinds <= set(script) for script in (_CYR, _GREEK, _EAST))
+
+
+def _exhibits(stretch: str, around: str, line: str = "") -> bool:
     """Whether every run beyond ASCII that could be restored is shown as an example: it fills a pair of quotes, or stands
-    quoted or with an arrow or sign of equality next to its right form."""
+    quoted or with an arrow or sign of equality next to its right form, in the stretch or the line that holds it."""
+    line = line or stretch
     some, context = False, around + line
-    for run in dict.fromkeys(re.findall(r"[^\x00-\x7f]+", line)):
+    for run in dict.fromkeys(re.findall(r"[^\x00-\x7f]+", stretch)):
         right, path = search(run)
         if not is_utf8(path) or right == run:
             continue
@@ -322,6 +333,27 @@ def _exhibits(line: str, around: str) -> bool:
     return some
 
 
+def _repaired_parts(parts: re.Pattern, text: str, line: str, around: str, legacy: bool) -> tuple[str, list[str]]:
+    """text, which is `line` or what became of it, with each of its parts restored by itself, and the ways taken; without
+    legacy by UTF-8 only."""
+    ways: list[str] = []
+
+    def restored(place: re.Match) -> str:
+        part = place.group()
+        if part.isascii():
+            return part
+        found, path = search(part)
+        utf8 = is_utf8(path)
+        if not accepted(part, found, path) or not (legacy or utf8) or _exhibits(part, around + line, line):
+            return part
+        if _one_script(part) and not (utf8 and (cost(part) - cost(found) >= GAIN or not plausible(part))):
+            return part
+        ways.append(" ".join(path))
+        return found
+
+    return parts.sub(restored, text), ways
+
+
 def repaired_line(line: str, around: str = "") -> tuple[str, list[str]]:
     """The line with what can be restored restored, and the ways taken ('lost' where bytes are gone for good).
 
@@ -333,16 +365,10 @@ def repaired_line(line: str, around: str = "") -> tuple[str, list[str]]:
     found, path = search(line)
     if accepted(line, found, path):
         return (line, []) if _exhibits(line, around) else (found, [" ".join(path)])
-    ways, out = [], line
-    if plausible(line) and not _LOST.search(line):
-        return line, []
-    for token in dict.fromkeys(re.split(r"[ \t\r]+", line)):
-        if token.isascii():
-            continue
-        found, path = search(token)
-        if accepted(token, found, path) and is_utf8(path) and not _exhibits(token, around + line):
-            out = out.replace(token, found)
-            ways.append(" ".join(path))
+    # However plausible the line is as a whole, each of its parts is looked at, first between blanks, then words alone.
+    out, ways = _repaired_parts(_TOKEN, line, line, around, False)
+    out, more = _repaired_parts(_STRETCH, out, line, around, plausible(line))
+    ways += more
     if not ways and _LOST.search(line):
         ways.append("lost")
     return out, ways
@@ -351,11 +377,12 @@ def repaired_line(line: str, around: str = "") -> tuple[str, list[str]]:
 def repaired(text: str | None) -> tuple[str | None, list[str]]:
     """repaired_line over the lines of a text. Null and ASCII texts come back as they are.
 
-    A way that is too weak in each line by itself counts where several different lines of the text together bear it out.
+    A way that is too weak in each line by itself counts where several different lines of the text together bear it out;
+    where none does, the words of such lines are tried by themselves.
     """
     if text is None or text.isascii():
         return text, []
-    lines, ways = text.split("\n"), []
+    lines, ways, left = text.split("\n"), [], {}
     weak: dict[tuple[str, ...], None] = {}
     weak_lines: dict[str, None] = {}
     for i, line in enumerate(lines):
@@ -365,7 +392,7 @@ def repaired(text: str | None) -> tuple[str | None, list[str]]:
             ways += more
             if not more and not plausible(line):
                 found, path = search(line)
-                weak_lines[line] = None
+                weak_lines[line], left[i] = None, around
                 if len(path) == 1 and weight(line, found, path)[1]:
                     weak[path] = None
     for path in weak:
@@ -374,6 +401,10 @@ def repaired(text: str | None) -> tuple[str | None, list[str]]:
             lines = [held[x][0] if x in held else x for x in lines]
             ways.append(" ".join(path))
             break
+    else:
+        for i, around in left.items():
+            lines[i], more = _repaired_parts(_STRETCH, lines[i], lines[i], around, True)
+            ways += more
     return "\n".join(lines), ways
 
 
