@@ -60,6 +60,25 @@ def test_store_batches_compaction_and_replay(spark):
     assert store.published.current()["number"] == 3
 
 
+@pytest.mark.parametrize("seed", [3, 4])
+def test_changes_that_come_after_compaction_count(spark, seed):
+    rows = random_changes(seed)
+    store = Store(spark, shared_dir(spark, "s"), ["k"], "k bigint, v string")
+    df = spark.createDataFrame(rows, CHANGES)
+    batch = lambda b: store.append(df.where(F.col("_version") % 4 == b), b)
+    state = lambda: {r.k: r.v for r in store.read().collect()}
+    for done, b in enumerate((3, 1, 0, 2), 1):  # a batch, compacted, the next with versions among and below those held
+        batch(b)
+        store.optimize()
+        assert state() == folded([r for r in rows if r[2] % 4 in (3, 1, 0, 2)[:done]])
+    batch(3)
+    assert state() == folded(rows)
+    store.optimize(safe=299)  # nothing is late any more: tombstones go, and a replay still brings nothing back
+    assert store.read(final=False).where("_deleted").count() == 0
+    batch(0)
+    assert state() == folded(rows)
+
+
 def test_publish_is_all_or_nothing(spark):
     p = Published(spark, shared_dir(spark, "p"))
     assert p.current() is None and p.read() is None

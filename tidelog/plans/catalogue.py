@@ -149,11 +149,15 @@ def ddl_segments(spark, d):
 _STORE = "user_id bigint, event_id bigint, event_type string, value double, props string"
 
 
-def _stored(spark, d, batches: int = 4) -> Store:
-    store = Store(spark, shared_dir(spark, "store"), KEY, _STORE)
+def _append(store: Store, spark, d, numbers: range, batches: int = 4) -> None:
     e = _events(spark, d).withColumns({"_version": F.col("event_id"), "_deleted": F.col("event_type") == "error"})
-    for b in range(batches):
+    for b in numbers:
         store.append(e.where(F.expr(f"(event_id div 100) % {batches} = {b}")), b)
+
+
+def _stored(spark, d, batches: int = 4) -> Store:
+    store = Store(spark, shared_dir(spark, "store"), KEY, _STORE)
+    _append(store, spark, d, range(batches), batches)
     return store
 
 
@@ -165,10 +169,10 @@ def store_read_final(spark, d):
 @query(_CURRENT)
 def compaction_equiv(spark, d):
     """Compacted half way, then a batch replayed and the rest added."""
-    store = _stored(spark, d)
+    store = Store(spark, shared_dir(spark, "store"), KEY, _STORE)
+    _append(store, spark, d, range(2))
     store.optimize()
-    e = _events(spark, d).withColumns({"_version": F.col("event_id"), "_deleted": F.col("event_type") == "error"})
-    store.append(e.where("(event_id div 100) % 4 = 1"), 1)
+    _append(store, spark, d, range(1, 4))
     return store.read().drop("_version")
 
 

@@ -1,9 +1,10 @@
 """A table kept as a snapshot and a log of changes, merged when it is read.
 
-root/CURRENT names the snapshot (a v-… folder, '' for none) and up to which version it holds everything; root/log has
-one folder per batch. A batch written twice replaces itself, so replaying it changes nothing. Compaction publishes a new
-snapshot and retires the batches that it holds; a replay of such a batch is ignored by its versions, so that a
-deleted key isn't brought back by an insert whose tombstone is gone.
+root/CURRENT names the snapshot (a v-… folder, '' for none); root/log has one folder per batch. A batch written twice
+replaces itself, so replaying it changes nothing. Compaction publishes a new snapshot, which keeps each key's version and
+tombstone, and retires the batches that it holds. Rows that come later, replayed or late, are judged by their own key's
+version, so that a deleted key isn't brought back and no change is lost for being late. Tombstones go, and rows up to
+there are ignored, only up to a version that the caller declares safe.
 """
 
 from __future__ import annotations
@@ -73,15 +74,19 @@ class Store:
         """The highest version held, None in an empty table."""
         return self.read(final=False).agg(F.max(VERSION)).first()[0]
 
-    def optimize(self, files: int | None = None) -> dict:
-        """Writes the current rows as the new snapshot, clustered by key, and drops what it replaces."""
-        facts, top = self._facts(), self.max_version()
-        final = self.read().withColumn(DELETED, F.lit(False)).select(*[f.name for f in self.schema])
+    def optimize(self, files: int | None = None, safe: int = -1) -> dict:
+        """Writes the newest row of each key as the new snapshot, clustered by key, and drops what it replaces.
+
+        safe: a version up to which no change will come any more but replays. Tombstones up to it are dropped.
+        """
+        facts = self._facts()
+        upto = max(facts["upto"], safe)
+        final = newest(self.read(final=False), self.key, [VERSION]).where(F.expr(f"NOT coalesce({DELETED}, false)") | (F.col(VERSION) > upto))
         n = files or max(1, int(self.spark.conf.get("spark.sql.shuffle.partitions")) // 8)
         version = self.published.stage()
         clustered = final.repartitionByRange(n, *self.key).sortWithinPartitions(*self.key)
         clustered.write.option("parquet.bloom.filter.enabled#" + self.key[0], "true").parquet(f"{self.published.root}/{version}")
-        now = self.published.publish(version, upto=max(facts["upto"], facts["truncated"], -1 if top is None else top), truncated=facts["truncated"])
+        now = self.published.publish(version, upto=upto, truncated=facts["truncated"])
         self.published._fs().delete(self.published._path("log"), True)
         self.published.vacuum()
         return now
