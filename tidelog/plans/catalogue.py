@@ -133,6 +133,16 @@ def bounded_replay(spark, d):
     return _events(spark, d).where("event_id > 500 AND event_id < 900").select("event_id")
 
 
+@query("""SELECT event_id FROM events, (SELECT min(event_id) AS low, max(event_id) AS high FROM events)
+WHERE event_id > low + (high - low) // 4 AND event_id < high - (high - low) // 4""")
+def bounded_replay_middle(spark, d):
+    """The middle half of the log, whatever its length; bounded_replay takes fixed positions."""
+    e = _events(spark, d).select("event_id")
+    low, high = e.agg(F.min("event_id"), F.max("event_id")).first()
+    quarter = ((high or 0) - (low or 0)) // 4
+    return e.where((F.col("event_id") > (low or 0) + quarter) & (F.col("event_id") < (high or 0) - quarter))
+
+
 @query("""SELECT event_id, CAST(CASE WHEN event_id < 300 THEN 0 WHEN event_id < 700 THEN 1 ELSE 2 END AS INTEGER) AS segment
 FROM events WHERE event_id NOT IN (300, 700)""")
 def ddl_segments(spark, d):
@@ -581,6 +591,15 @@ def asof_file_lookup(spark, d):
     return monitor.as_of_file(files, e.where("event_id % 37 = 0").select(F.col("event_id").alias("pos")))
 
 
+@query("""WITH f AS (SELECT event_id // 1000 AS file_no, min(event_id) AS first_pos FROM events GROUP BY 1)
+SELECT w.event_id AS pos, f.file_no FROM events w ASOF LEFT JOIN f ON w.event_id >= f.first_pos""")
+def asof_file_lookup_all(spark, d):
+    """The file of every position; asof_file_lookup takes one in 37."""
+    e = _events(spark, d)
+    files = e.groupBy(F.expr("event_id div 1000").alias("file_no")).agg(F.min("event_id").alias("first_pos"))
+    return monitor.as_of_file(files, e.select(F.col("event_id").alias("pos")))
+
+
 @query("""SELECT user_id, event_id, last_value(v IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY event_id) AS v
 FROM (SELECT user_id, event_id, CASE WHEN event_type = 'signup' THEN event_id END AS v FROM events)""")
 def tablemap_ffill(spark, d):
