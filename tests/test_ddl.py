@@ -148,3 +148,15 @@ def test_projection_over_stored_rows(spark):
     r.apply("alter table t modify a int, modify b int not null, add c datetime not null first, add e enum('P','q') not null", "d")
     rows = {x.id: (x.a, x.b, str(x.c), x.e) for x in r.tables[("d", "t")].project(stored).collect()}
     assert rows == {1: (7, 0, "1970-01-01 00:00:00", "p"), 2: (None, 5, "1970-01-01 00:00:00", "p")}
+
+
+def test_database_of_statements_with_comments(spark):
+    import __spark_entry__ as entry
+    from tidelog.session import shared_dir
+
+    root = shared_dir(spark, "ddl")
+    said = ["/* a.b */ CREATE TABLE `Shop`.t (id int)", "ALTER -- x.y\n TABLE shop.t ADD c int", "CREATE TABLE t (id int) /* c.d */", "ALTER TABLE shop.t ADD c int"]
+    rows = [(i, 3, text) for i, text in enumerate(said)] + [(9, 1, "/* no statement */")]
+    spark.createDataFrame(rows, "delivery_no bigint, event_type int, records string").write.parquet(f"{root}/log_events.parquet")
+    got = {r.delivery_no: r.db for r in entry.queries()["db_name_from_ddl_all"](spark, root).collect()}
+    assert got == {0: "shop", 1: "shop", 2: "", 3: "shop"}

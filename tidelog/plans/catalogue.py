@@ -642,6 +642,18 @@ def db_name_from_ddl(spark, d):
     return rows.select("delivery_no", names.plain_name(F.regexp_extract(text, shape, 1)).alias("db"))
 
 
+@query(r"""SELECT delivery_no, lower(regexp_extract(
+    regexp_replace(regexp_replace(regexp_replace(records, '/\*.*?\*/', ' ', 'gs'), '--[^\n]*', ' ', 'g'), '#[^\n]*', ' ', 'g'),
+    '^\s*(create|alter)\s+table\s+(if\s+not\s+exists\s+)?`?([^`\s.;,]+)`?\s*\.', 3, 'is')) AS db
+FROM log_events WHERE event_type = 3""")
+def db_name_from_ddl_all(spark, d):
+    """The database that each statement names, those with comments too; db_name_from_ddl leaves these out."""
+    text = sqltext.without_comments(F.col("records"))
+    shape = rf"(?is)^\s*(?:create|alter)\s+table\s+(?:if\s+not\s+exists\s+)?{sqltext.NAME}\s*\.\s*{sqltext.NAME}"
+    rows = table(spark, d, "log_events").where("event_type = 3")
+    return rows.select("delivery_no", names.plain_name(F.regexp_extract(text, shape, 1)).alias("db"))
+
+
 _CUSTOMER = "create table customer (c_custkey bigint primary key, c_name varchar(50), c_nationkey int, c_acctbal double, c_mktsegment varchar(20))"
 
 
