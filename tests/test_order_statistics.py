@@ -47,3 +47,17 @@ def test_heavy_keys_count_all_rows(spark):
     log = spark.createDataFrame(rows, "db_name string, table_name string, logged_at timestamp_ntz")
     assert {tuple(r)[:2] for r in o.heavy_keys(log).collect()} == {("d", "t")}
     assert o.heavy_keys(log.limit(0)).count() == 0
+
+
+def test_many_intervals_of_few_values(spark, monkeypatch):
+    monkeypatch.setattr(o, "BROADCAST_ROWS", 0)
+    rows = [("hot", i % 3) for i in range(3000)] + [(f"k{i % 50}", i) for i in range(400)]
+    got = {r.k: r.lower_median for r in o.order_statistics(spark.createDataFrame(rows, "k string, v bigint"), ["k"], "v", ranks()).collect()}
+    assert got["hot"] == 1 and got["k7"] == sorted(i for i in range(400) if i % 50 == 7)[3]
+
+
+def test_heavy_keys_at_the_edge_of_the_share(spark):
+    log = spark.createDataFrame([("d", "a", None)] * 2 + [("d", "b", None)] * 1 + [("d", f"t{i}", None) for i in range(37)], "db_name string, table_name string, logged_at timestamp_ntz")
+    assert {r.table_name for r in o.heavy_keys(log).collect()} == {"a"}
+    assert {(r.table_name, r.rows) for r in o.heavy_keys(log, 0.04).collect()} == {("a", 2)}
+    assert o.heavy_keys(log, 1.0).count() == 0

@@ -7,7 +7,9 @@ before the shuffle as after it), so neither a key's values nor its rows ever mee
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping
+from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -15,7 +17,7 @@ from pyspark.sql import functions as F
 from tidelog.functions.names import file_number, plain_name
 from tidelog.session import BROADCAST_ROWS, kept
 
-#: Bins of a round, and parts a key's rows are dealt to where the intervals are too many to broadcast.
+#: Bins of a round, and parts at least that a key's values are dealt to where the intervals are too many to broadcast.
 BINS, SALTS = 256, 32
 
 
@@ -31,7 +33,7 @@ def order_statistics(df: DataFrame, keys: list[str], value: str, ranks: Mapping[
     if clash:
         raise ValueError(f"key columns {sorted(clash)} clash with result columns")
     spark = df.sparkSession
-    slim = df.select(*keys, F.col(value).cast("bigint").alias("_v"))
+    slim = df.select(*keys, F.col(value).cast("bigint").alias("_v"), F.lit(1).cast("bigint").alias("_c"))
     totals = kept(
         slim.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"), F.count("_v").alias("known"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")),
         "totals",
@@ -64,29 +66,36 @@ def order_statistics(df: DataFrame, keys: list[str], value: str, ranks: Mapping[
 
 
 def _narrowed(slim: DataFrame, open_: DataFrame, keys: list[str], bins: int) -> DataFrame:
-    """The next interval of each open one, with the rank that remains inside it."""
-    step = F.ceil((F.col("_hi").cast("decimal(20,0)") - F.col("_lo") + 1) / F.lit(bins)).cast("bigint")
-    targets = open_.withColumn("_step", step)
-    rows = slim.where("_v IS NOT NULL")
-    renamed = [F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]
-    targets = targets.select(*renamed, "_lo", "_hi", "_name", "_rank", "_step")
-    on = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
-    if targets.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        targets = F.broadcast(targets)
+    """The next interval of each open one, with the rank that remains inside it.
+
+    Ranks that share an interval share its histogram. Bins begin at multiples of the step, so that no difference of two
+    values is taken: it might not fit a bigint.
+    """
+    step = F.ceil((F.col("_hi").cast("decimal(20,0)") - F.col("_lo") + 1) / F.lit(bins))
+    step = F.least(step.cast("decimal(20,0)"), F.lit(str(2**63 - 1)).cast("decimal(20,0)")).cast("bigint")
+    group = [f"_k{i}" for i in range(len(keys))]
+    renamed = [F.col(k).alias(g) for k, g in zip(keys, group, strict=True)]
+    ranked = open_.select(*renamed, "_lo", "_hi", "_name", "_rank")
+    spans = open_.withColumn("_step", step).select(*renamed, "_lo", "_hi", "_step").distinct()
+    on = [F.col(k).eqNullSafe(F.col(g)) for k, g in zip(keys, group, strict=True)]
+    if spans.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        rows, spans = slim, F.broadcast(spans)
     else:
-        rows = rows.withColumn("_salt", F.pmod(F.xxhash64("_v"), F.lit(SALTS)).cast("int"))
-        targets = targets.withColumn("_at", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        # A value of a key is one row with its count, so however many rows a key has, the salt deals its values evenly.
+        salts = max(SALTS, int(slim.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 4)
+        rows = slim.groupBy(*keys, "_v").agg(F.sum("_c").alias("_c")).withColumn("_salt", F.pmod(F.xxhash64("_v"), F.lit(salts)).cast("int"))
+        spans = spans.withColumn("_at", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
         on.append(F.col("_salt") == F.col("_at"))
-    inside = rows.join(targets, on).where("_v BETWEEN _lo AND _hi")
-    group = [f"_k{i}" for i in range(len(keys))] + ["_name"]
-    counted = inside.groupBy(*group, "_lo", "_hi", "_rank", "_step", F.expr("(_v - _lo) div _step").alias("_bin")).agg(
-        F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_first"), F.max("_v").alias("_last")
-    )
-    up_to = F.sum("_n").over(Window.partitionBy(*group).orderBy("_bin"))
-    hit = counted.withColumn("_upto", up_to).where("_upto >= _rank AND _upto - _n < _rank")
+    inside = rows.where("_v IS NOT NULL").join(spans, on).where("_v BETWEEN _lo AND _hi")
+    floor = F.expr("_v div _step - CASE WHEN _v % _step < 0 THEN 1 ELSE 0 END").alias("_bin")
+    counted = inside.groupBy(*group, "_lo", "_hi", floor).agg(F.sum("_c").alias("_n"), F.min("_v").alias("_first"), F.max("_v").alias("_last"))
+    up_to = F.sum("_n").over(Window.partitionBy(*group, "_lo", "_hi").orderBy("_bin"))
+    counted = counted.withColumn("_upto", up_to).select(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)], F.col("_lo").alias("_from"), F.col("_hi").alias("_to"), "_n", "_first", "_last", "_upto")
+    same = [F.col(g).eqNullSafe(F.col(f"_g{i}")) for i, g in enumerate(group)] + [F.col("_lo") == F.col("_from"), F.col("_hi") == F.col("_to")]
+    hit = ranked.join(counted, same).where("_upto >= _rank AND _upto - _n < _rank")
     # Counts carry the least and greatest value of their bin, so the next interval is as tight as the data.
     return hit.select(
-        *[F.col(f"_k{i}").alias(k) for i, k in enumerate(keys)], F.col("_first").alias("_lo"), F.col("_last").alias("_hi"), "_name",
+        *[F.col(g).alias(k) for k, g in zip(keys, group, strict=True)], F.col("_first").alias("_lo"), F.col("_last").alias("_hi"), "_name",
         (F.col("_rank") - (F.col("_upto") - F.col("_n"))).alias("_rank"),
     )
 
@@ -126,12 +135,24 @@ def delivery_profile(log: DataFrame) -> DataFrame:
 
 
 def heavy_keys(log: DataFrame, share: float = 0.05) -> DataFrame:
-    """The (db_name, table_name) that hold at least `share` of all rows of log, unnamed ones aside."""
+    """(db_name, table_name, rows) of the keys that hold at least `share` (above 0, at most 1) of all rows of log.
+
+    Put all rows in an order in which a key's rows are neighbours: a key with at least n rows covers a rank that is a
+    multiple of n. So the values at those ranks, at most 1 / share of them, found by narrowing histograms, hold every such
+    key; the order is that of a hash of the key. The few keys found are then counted exactly, which also tells keys with
+    the same hash apart. Rows without either name count in the total and never come out. An empty log gives no row.
+    """
     keys = ["db_name", "table_name"]
-    rows = log.select(plain_name("db_name").alias("db_name"), plain_name("table_name").alias("table_name"), _micros("logged_at").alias("logged"))
-    at = order_statistics(rows, keys, "logged", {"middle_at": F.ceil(F.col("known") / 2)})
-    least = (at.agg(F.sum("rows")).first()[0] or 0) * share
-    return at.where((F.col("rows") >= least) & F.col("db_name").isNotNull() & F.col("table_name").isNotNull())
+    named = log.select(plain_name("db_name").alias("db_name"), plain_name("table_name").alias("table_name")).withColumn("hash", F.xxhash64(*keys))
+    total = log.count()
+    least = max(1, math.ceil(Fraction(str(share)) * total))
+    ranks = {f"at{i}": F.lit(i * least) for i in range(1, total // least + 1)}
+    if not ranks:
+        return log.sparkSession.createDataFrame([], "db_name string, table_name string, rows bigint")
+    found = order_statistics(named.withColumn("all", F.lit(0)), ["all"], "hash", ranks)
+    hit = found.select(F.explode(F.array(*ranks)).alias("hash")).distinct()
+    heavy = named.join(F.broadcast(hit), "hash", "left_semi")  # at most 1 / share rows
+    return heavy.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows")).where((F.col("rows") >= least) & F.col("db_name").isNotNull() & F.col("table_name").isNotNull())
 
 
 def _micros(c: str) -> Column:
