@@ -53,6 +53,12 @@ def test_timedelta(spark, seconds, want):
 def test_decoding(spark):
     assert one(spark, "Hällo".encode("cp1252"), "binary", normalize.decoded(C, "latin1")) == "Hällo"
     assert one(spark, "привет".encode("cp1251"), "binary", normalize.decoded(C, "cp1251")) == "привет"
+    for charset, text, codec in (("koi8r", "Ж", "koi8-r"), ("cp850", "Å", "cp850"), ("sjis", "日本", "shift_jis"), ("gbk", "中文", "gbk"), ("utf16", "aЖ", "utf-16-be"), ("utf8mb4", "😀", "utf-8"), ("greek", "ω", "iso8859-7")):
+        assert one(spark, text.encode(codec), "binary", normalize.decoded(C, charset)) == text
+    assert one(spark, b"a\xff", "binary", normalize.decoded(C, "utf8")) == "a\ufffd" and one(spark, b"\x81", "binary", normalize.decoded(C, "latin1")) == "\x81"
+    assert one(spark, None, "binary", normalize.decoded(C, "sjis")) is None
+    assert [normalize.collation_charset(n) for n in (8, 33, 45, 51, 63, 255, 9999)] == ["latin1", "utf8mb3", "utf8mb4", "cp1251", "binary", "utf8mb4", "utf8mb4"]
+    assert one(spark, 95, "int", normalize.charset_of(C)) == "cp932"
     assert one(spark, '{"b": 1,\n "a":[1, 2]}', "string", normalize.json_text(C)) in ('{"b":1,"a":[1,2]}', '{"a":[1,2],"b":1}')
     assert one(spark, "{no", "string", normalize.json_text(C)) is None
 

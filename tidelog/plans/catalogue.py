@@ -466,10 +466,15 @@ def map_fraction_pack(spark, d):
     return o.select("o_orderkey", packed.datetime5(packed.packed_datetime5(F.col("t"))).alias("at"), packed.date3(date).alias("day"))
 
 
-@query("SELECT p_partkey, p_name AS name FROM part")
+_ROMAN, _CYRILLIC = "abcdefghijklmnopqrstuvwxyz", "".join(chr(0x430 + i) for i in range(26))
+
+
+@query(f"SELECT p_partkey, translate(p_name, '{_ROMAN}', '{_CYRILLIC}') AS name, translate(p_name, '{_ROMAN}', '{_CYRILLIC}') AS koi FROM part")
 def decode_charset(spark, d):
-    raw = F.encode("p_name", "windows-1251")
-    return table(spark, d, "part").select("p_partkey", normalize.decoded(raw, "cp1251").alias("name"))
+    """Names in Cyrillic letters, from their bytes in two character sets (bytes are written as Latin-1 characters)."""
+    made = lambda codec: F.encode(F.translate("p_name", _ROMAN, _CYRILLIC.encode(codec).decode("latin-1")), "ISO-8859-1")
+    read = lambda charset, codec: normalize.decoded(made(codec), charset)
+    return table(spark, d, "part").select("p_partkey", read("cp1251", "cp1251").alias("name"), read("koi8r", "koi8-r").alias("koi"))
 
 
 @query("SELECT o_orderkey, CAST(o_orderkey % 1000000 AS BIGINT) AS le, CAST(o_orderkey % 1000000 AS BIGINT) AS be FROM orders")

@@ -17,7 +17,6 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.python.filterPushdown.enabled": "true",
-    "spark.sql.legacy.javaCharsets": "true",
     "spark.ui.enabled": "false",
 }
 
