@@ -79,6 +79,28 @@ def test_changes_that_come_after_compaction_count(spark, seed):
     assert state() == folded(rows)
 
 
+def test_a_batch_that_comes_while_compacting_stays(spark, monkeypatch):
+    rows = random_changes(8)
+    store = Store(spark, shared_dir(spark, "s"), ["k"], "k bigint, v string", indexes=["k", "v"])
+    df = spark.createDataFrame(rows, CHANGES)
+    store.append(df.where("_version < 200"), 0)
+    write = store._snapshot
+    monkeypatch.setattr(store, "_snapshot", lambda *a: (write(*a), store.append(df.where("_version >= 200"), 1)))
+    store.optimize()
+    assert {r.k: r.v for r in store.read().collect()} == folded(rows) and store._batches() == ["batch=1"]
+
+
+def test_snapshot_files_follow_the_bytes(spark, monkeypatch):
+    from tidelog.store import table as t
+
+    store = Store(spark, shared_dir(spark, "s"), ["k"], "k bigint, v string", order_by=["v"])
+    store.append(spark.range(2000).selectExpr("id AS k", "uuid() AS v", "id AS _version"), 0)
+    monkeypatch.setattr(t, "FILE_BYTES", store._bytes(["log/batch=0"]) // 4)
+    store.optimize()
+    files = spark.read.parquet(f"{store.published.root}/{store.published.current()['version']}").inputFiles()
+    assert 4 <= len(files) <= 6 and store.read().count() == 2000
+
+
 def test_publish_is_all_or_nothing(spark):
     p = Published(spark, shared_dir(spark, "p"))
     assert p.current() is None and p.read() is None

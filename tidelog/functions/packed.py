@@ -8,7 +8,9 @@ import json
 import struct
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -75,9 +77,15 @@ def bit_string(c: Column, width: int) -> Column:
     return F.lpad(F.bin(c.cast("bigint")), width, "0")
 
 
+#: Bytes that so many decimal digits take.
 _DIGIT_BYTES = (0, 1, 1, 2, 2, 3, 3, 4, 4, 4)
 
 
+def decimal_size(precision: int, scale: int) -> int:
+    """Bytes of a packed decimal."""
+    return sum(n // 9 * 4 + _DIGIT_BYTES[n % 9] for n in (precision - scale, scale))
+
+
 def decimal_text(data: bytes | None, precision: int, scale: int) -> str | None:
     """A packed decimal (9 digits in 4 bytes, the top bit set for positive numbers) as text."""
     if data is None:
@@ -166,16 +174,29 @@ def point(c: Column) -> Column:
     return read(c)
 
 
-def _points(ring: list) -> list[dict[str, float]]:
-    return [{"x": x, "y": y} for x, y in ring]
+def _point_list(flat: list[float], ends: list[int]) -> pa.Array:
+    """Lists of points from all points' coordinates one after another and each list's end."""
+    xy = np.array(flat, np.float32).reshape(-1, 2)
+    points = pa.StructArray.from_arrays([pa.array(xy[:, 0]), pa.array(xy[:, 1])], ["x", "y"])
+    return pa.ListArray.from_arrays(pa.array([0, *ends], pa.int32()), points)
+
+
+def _extend(flat: list[float], ends: list[int], ring: list[tuple[float, float]]) -> None:
+    for p in ring:
+        flat += p
+    ends.append(len(flat) // 2)
 
 
 def polygon(c: Column) -> Column:
     """The outer ring of a WKB polygon, the closing point kept; null gives no point."""
 
-    @F.udf("array<struct<x:float,y:float>>", useArrow=True)
-    def read(b: bytes | None) -> list[dict[str, float]]:
-        return _points(_wkb(b, 3) or [])
+    @F.arrow_udf("array<struct<x:float,y:float>>")
+    def read(column: pa.Array) -> pa.Array:
+        flat: list[float] = []
+        ends: list[int] = []
+        for b in column.to_pylist():
+            _extend(flat, ends, _wkb(b, 3) or [])
+        return _point_list(flat, ends)
 
     return read(c)
 
@@ -183,9 +204,16 @@ def polygon(c: Column) -> Column:
 def multipolygon(c: Column) -> Column:
     """The outer rings of a WKB multipolygon; null gives none."""
 
-    @F.udf("array<array<struct<x:float,y:float>>>", useArrow=True)
-    def read(b: bytes | None) -> list[list[dict[str, float]]]:
-        return [_points(r) for r in _wkb(b, 6) or []]
+    @F.arrow_udf("array<array<struct<x:float,y:float>>>")
+    def read(column: pa.Array) -> pa.Array:
+        flat: list[float] = []
+        ends: list[int] = []
+        outer = [0]
+        for b in column.to_pylist():
+            for ring in _wkb(b, 6) or []:
+                _extend(flat, ends, ring)
+            outer.append(len(ends))
+        return pa.ListArray.from_arrays(pa.array(outer, pa.int32()), _point_list(flat, ends))
 
     return read(c)
 

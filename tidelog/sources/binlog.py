@@ -25,7 +25,7 @@ from typing import Any
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThan, In, InputPartition
 
-from tidelog.functions.packed import _written, binary_json, decimal_text
+from tidelog.functions.packed import _written, binary_json, decimal_size, decimal_text
 
 SCHEMA = (
     "file_no bigint, log_pos bigint, row_no int, logged_at timestamp, event string, server_id bigint, db_name string, table_name string, "
@@ -164,8 +164,7 @@ def value(body: Cursor, c: Column) -> Any:
         return struct.unpack("<d", body.take(8))[0]
     if k == NEWDECIMAL:
         precision, scale = c.meta >> 8, c.meta & 0xFF
-        sizes, whole = (0, 1, 1, 2, 2, 3, 3, 4, 4), precision - scale
-        return decimal_text(body.take(whole // 9 * 4 + sizes[whole % 9] + scale // 9 * 4 + sizes[scale % 9]), precision, scale)
+        return decimal_text(body.take(decimal_size(precision, scale)), precision, scale)
     if k == YEAR:
         y = body.uint(1)
         return y + 1900 if y else 0
@@ -229,9 +228,13 @@ def _image(body: Cursor, t: TableMap, present: bytes) -> dict[str, Any]:
     return {t.columns[i].name or f"c{i}": None if _bit(nulls, n) else value(body, t.columns[i]) for n, i in enumerate(here)}
 
 
-def rows(code: int, body: Cursor, maps: dict[int, TableMap]) -> tuple[TableMap | None, list[tuple[dict | None, dict | None]]]:
-    """(table, (before, after) of each row); no table where the log's part at hand lacks its map."""
-    t = maps.get(body.uint(6))
+def rows(code: int, body: Cursor, maps: dict[int, TableMap]) -> tuple[TableMap, list[tuple[dict | None, dict | None]]]:
+    """(table, (before, after) of each row). Raises ValueError where the log's part at hand lacks the table's map: its rows
+    can't be read, and leaving them out would lose changes."""
+    number = body.uint(6)
+    t = maps.get(number)
+    if t is None:
+        raise ValueError(f"rows of table {number}, whose map isn't in the log before them")
     body.take(2)
     if code in (30, 31, 32):
         body.take(body.uint(2) - 2)
@@ -239,7 +242,7 @@ def rows(code: int, body: Cursor, maps: dict[int, TableMap]) -> tuple[TableMap |
     first = body.take((n + 7) // 8)
     second = body.take((n + 7) // 8) if code in (24, 31) else b""
     out: list[tuple[dict | None, dict | None]] = []
-    while t and body.left():
+    while body.left():
         one = _image(body, t, first)
         out.append((one, _image(body, t, second)) if second else (None, one) if code in (23, 30) else (one, None))
     return t, out
