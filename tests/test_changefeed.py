@@ -130,3 +130,58 @@ def test_nulls_empty_and_unreadable(spark):
 def test_truncate_statements(spark, sql, want):
     got = spark.createDataFrame([(sql,)], "s string").select(truncated(F.col("s"), F.lit("`D`")).alias("t")).first().t
     assert (tuple(got) if got else None) == want
+
+
+def _arrow(changes):
+    import pyarrow as pa
+
+    rows = [{"db_name": "=d", "table_name": "=t", "record_key": f"={k}", "file_no": 1, "log_pos": pos, "row_no": 0, "kind": kind, "payload": f"p{pos}"} for k, pos, kind in changes]
+    return pa.Table.from_pylist(rows, schema=cf._ARROW)
+
+
+def test_the_stored_row_decides_each_conflict(monkeypatch):
+    monkeypatch.setattr(cf, "CHUNK_ROWS", 10)
+    rng = random.Random(3)
+    stored = [(k, rng.randint(1, 500), 1) for k in range(0, 60, 2)]
+    feed = [(rng.randint(0, 59), rng.randint(1, 1000), rng.choice([1, 1, 2])) for _ in range(400)]
+    bucket = cf._Bucket()
+    bucket.load(_arrow(stored))
+    state, taken, refused = {k: (pos, kind) for k, pos, kind in stored}, 0, 0
+    for at in range(0, len(feed), 10):
+        part = {}
+        for k, pos, kind in feed[at : at + 10]:
+            part[k] = max(part.get(k, (0, 0)), (pos, kind))
+        newer = {k: v for k, v in part.items() if k not in state or v > state[k]}
+        refused += len(part) - len(newer)
+        assert bucket.upsert(_arrow(feed[at : at + 10])) == len(newer)
+        taken += sum(k in state for k in newer)
+        state |= newer
+    assert taken > 50 and refused > 50  # both outcomes of the conflict clause
+    assert {(r["record_key"], r["log_pos"], r["kind"], r["payload"]) for r in bucket.export().to_pylist()} == {(f"={k}", pos, kind, f"p{pos}") for k, (pos, kind) in state.items()}
+
+
+def test_only_buckets_that_are_met_are_written(spark):
+    root = shared_dir(spark, "met")
+    applied(spark, [event(i, i, 1, "u", [[i, "a"]]) for i in range(60)], root, buckets=8)
+    before = cf.State(spark, root).facts["places"]
+    assert len(before) == 8
+    got = applied(spark, [event(100, 100, 1, "u", [[3, "b"]])], root)
+    after = cf.State(spark, root).facts["places"]
+    assert sum(before[n] != after[n] for n in before) == 1 and len(got) == 60 and got[("d", "u", "3")] == (1, 100)
+    assert applied(spark, [event(101, 50, 3, None, "TRUNCATE u")], root) == {k: p for k, p in got.items() if p[1] >= 50}
+    assert cf.State(spark, root).facts["places"] == after
+
+
+def test_buckets_are_dealt_anew_when_they_have_grown(spark, monkeypatch):
+    monkeypatch.setattr(cf, "BUCKET_ROWS", 10)
+    root, log = shared_dir(spark, "grown"), [event(i, i, 1 if i % 5 else 2, "u", [[i % 90, str(i)]]) for i in range(300)]
+    applied(spark, log[:15], root, buckets=1)
+    got = applied(spark, log[15:], root)
+    assert got == fold(log) and cf.State(spark, root).facts["buckets"] > 8
+
+
+def test_an_empty_feed_changes_nothing(spark):
+    root, none = shared_dir(spark, "none"), cf.changes(spark.createDataFrame([], LOG), layouts(spark))
+    assert cf.apply_changes(none, root, 2).count() == 0
+    applied(spark, [event(1, 1, 1, "u", [[1, "a"]])], root)
+    assert cf.live(cf.apply_changes(none, root)).count() == 1

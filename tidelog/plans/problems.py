@@ -23,6 +23,15 @@ def p1_current_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p1_state(spark, sf_dir, payload=True).select("db_name", "table_name", "record_key", "file_no", "log_pos", "payload")
 
 
+def p1_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows from the log applied in three parts, each holding batches from its whole length, the last first."""
+    log, layouts, root = table(spark, sf_dir, "log_events"), table(spark, sf_dir, "table_keys"), shared_dir(spark, "state")
+    for part in (2, 0, 1):
+        mine = log.where(F.pmod(F.coalesce("batch_no", F.lit(0)), F.lit(3)) == part)
+        state = changefeed.apply_changes(changefeed.changes(mine, layouts, payload=True), root)
+    return changefeed.live(state).select("db_name", "table_name", "record_key", "file_no", "log_pos", "payload")
+
+
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return messages.repeated_messages(table(spark, sf_dir, "log_events"))
 
@@ -72,7 +81,7 @@ def p5_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (p1_found, p1_current_rows, p2_found, p2_first_copies, p3_found, p3_profile, p4_found, p4_table, p5_found, p5_differences)
+    for f in (p1_found, p1_current_rows, p1_batches, p2_found, p2_first_copies, p3_found, p3_profile, p4_found, p4_table, p5_found, p5_differences)
 }
 
 
@@ -97,7 +106,7 @@ lay AS (SELECT {_plain("table_name")} AS tbl, list_transform(primary_keys, lambd
 lists AS (SELECT DISTINCT db, m.tbl, file_no, log_pos, event_type, places, from_json(records, '["JSON"]') AS list FROM m JOIN lay USING (tbl)
     WHERE event_type IN (1, 2) AND {_PLACED}),
 rows AS (SELECT db, tbl, file_no, log_pos, event_type, places, unnest(list) AS r, unnest(range(len(list))) AS row_no FROM lists),
-keyed AS (SELECT db, tbl, file_no, log_pos, event_type, row_no,
+keyed AS (SELECT db, tbl, file_no, log_pos, event_type, row_no, r,
         array_to_string(list_transform(places, lambda i: coalesce(json_extract_string(r, '$[' || i || ']'), '')), '|') AS record_key FROM rows),
 newest AS (SELECT * FROM keyed QUALIFY row_number() OVER (PARTITION BY db, tbl, record_key ORDER BY file_no DESC, log_pos DESC, row_no DESC) = 1),
 said AS (SELECT db, file_no, log_pos,
@@ -106,9 +115,11 @@ cut AS (SELECT db, file_no, log_pos, string_split(trim(regexp_replace(sql, '^\\s
     FROM said WHERE regexp_matches(sql, '^\\s*truncate\\s', 'i')),
 gone AS (SELECT {_plain("CASE WHEN len(n) = 2 THEN n[1] ELSE db END")} AS db, {_plain("n[len(n)]")} AS tbl,
         max(file_no * 1000000000000 + log_pos) AS until FROM cut GROUP BY ALL)
-SELECT k.db AS db_name, k.tbl AS table_name, record_key, file_no, log_pos FROM newest k LEFT JOIN gone USING (db, tbl)
+SELECT k.db AS db_name, k.tbl AS table_name, record_key, file_no, log_pos{{}} FROM newest k LEFT JOIN gone USING (db, tbl)
 WHERE event_type = 1 AND (until IS NULL OR file_no * 1000000000000 + log_pos > until)"""
 
+_PAYLOAD = ", CAST(to_json(list_transform(CAST(r AS JSON[]), lambda x: x ->> '$')) AS VARCHAR) AS payload"
+
 _P2_RANKED = f"""
 WITH {_MESSAGES},
 ranked AS (SELECT *, row_number() OVER (PARTITION BY source_id, file_no, log_pos ORDER BY received_at NULLS LAST, delivery_no) AS n
@@ -180,7 +191,9 @@ SELECT db AS db_name, tbl AS table_name, file_no, change_kind, name AS field_nam
 
 ORACLE = {
     "p4_found": _P4,
-    "p1_found": _P1,
+    "p1_found": _P1.format(""),
+    "p1_current_rows": _P1.format(_PAYLOAD),
+    "p1_batches": _P1.format(_PAYLOAD),
     "p2_found": _P2_RANKED + " SELECT source_id, file_no, log_pos FROM ranked WHERE n = 2",
     "p2_first_copies": _P2_RANKED + " SELECT source_id, file_no, log_pos, delivery_no, batch_no, event_type, records FROM ranked WHERE n = 1",
     "p3_found": f"""WITH {_MESSAGES} SELECT db AS db_name, tbl AS table_name FROM m WHERE db IS NOT NULL AND tbl IS NOT NULL GROUP BY ALL
