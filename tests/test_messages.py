@@ -44,3 +44,15 @@ def test_batches_add_each_message_once(spark):
     assert m.append_new(log(spark, ROWS[:4]), root).count() == 0
     assert {r.source_id for r in m.append_new(log(spark, ROWS[2:7]), root).collect()} == {"b", "c"}
     assert m.append_new(log(spark, ROWS), root).count() == 1 and m.append_new(log(spark, ROWS[::-1]), root).count() == 0
+
+
+def test_identifiers_are_put_together_and_rows_stay(spark, monkeypatch):
+    monkeypatch.setattr(m, "COMPACTED", 3)
+    root = shared_dir(spark, "seen")
+    for i in range(7):
+        added = m.append_new(log(spark, [("a", f"x.{i}", n, at(n), n) for n in range(3)] + ROWS[:1]), root)
+    from tidelog.store.publish import Published
+
+    assert len(Published(spark, root).current()["ids"]) <= 3
+    assert m.stored_messages(spark, root, added.schema).count() == 22  # 7 files of 3 and one repeated message, x.7 not among the files
+    assert m.append_new(log(spark, [("a", "x.3", 1, None, 1), ("a", "x.99", 1, None, 1)]), root).count() == 1

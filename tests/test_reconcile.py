@@ -95,6 +95,23 @@ def test_beyond_the_last_degree_and_one_side_empty(spark, monkeypatch):
 
 def test_nulls_empty_long_and_unknown_tables(spark):
     long = "x" * 200_000
-    a = [("d", "u", None, None, "1", None), ("d", "t", 1, None, "", None), ("d", "t", 2, long, None, 1), ("d", "unknown", 5, "a", "b", 1), ("d", "unknown", 5, "a", "b", 1)]
-    b = [("d", "u", None, "", "1", None), ("d", "t", 1, None, None, None), ("d", "t", 2, long + "y", None, 1)]
-    assert compared(spark, a, b) == {("d", "t", "1", "v"), ("d", "t", "2", "name"), ("d", "unknown", "", "missing_in_target")}
+    a = [("d", "u", None, None, "1", None), ("d", "t", 1, None, "", None), ("d", "t", 2, long, None, 1), ("d", "unknown", 5, "a", "b", 1), ("d", "unknown", 5, "a", "b", 1), ("d", "unknown", 6, "a", None, 1), ("d", "unknown", 7, "a", "b", 1)]
+    b = [("d", "unknown", 7, "a", "b", 4), ("d", "u", None, "", "1", None), ("d", "t", 1, None, None, None), ("d", "t", 2, long + "y", None, 1)]
+    assert compared(spark, a, b) == {("d", "t", "1", "v"), ("d", "t", "2", "name"), ("d", "unknown", "5|a|b", "missing_in_target"), ("d", "unknown", "6|a|", "missing_in_target")}
+
+
+def test_ties_and_many_versions_of_one_key(spark, monkeypatch):
+    monkeypatch.setattr(r, "HELD", 64)
+    a = [("d", "t", 1, "n", f"v{i}", i) for i in range(500)] + [("d", "t", 2, "n", "x", 1), ("d", "t", 2, "n", "y", 1), ("d", "t", 3, "n", "z", 1), ("d", "t", 4, "n", "p", 1)]
+    b = [("d", "t", 1, "n", "v499", None), ("d", "t", 2, "n", "x", 7), ("d", "t", 3, "n", "a", 2), ("d", "t", 3, "n", "z", 2), ("d", "t", 4, "n", "p", 1), ("d", "t", 4, "n", "p", 0)]
+    assert compared(spark, a, b) == {("d", "t", "2", "v")}  # of unequal rows of one version the greatest counts
+
+
+def test_newest_per_key():
+    rng = np.random.default_rng(1)
+    key, version, h = rng.integers(0, 20, 400), rng.integers(0, 5, 400), rng.integers(0, 9, 400)
+    k, v, hh, tied = r._newest(key, version, h)
+    for x in range(20):
+        top = version[key == x].max()
+        held = set(h[(key == x) & (version == top)].tolist())
+        assert set(v[k == x].tolist()) == {top} and sorted(hh[k == x].tolist()) == sorted({min(held), max(held)}) and set(tied[k == x].tolist()) == {len(held) > 1}

@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidelog.functions.names import file_number
 from tidelog.session import bounded, kept
 from tidelog.store.publish import Published
 
 MESSAGE = ("source_id", "file_no", "log_pos")
+#: Batches whose identifiers are put together.
+COMPACTED = 32
 
 
 def messages(log: DataFrame) -> DataFrame:
@@ -56,25 +59,41 @@ def repeated_messages(log: DataFrame) -> DataFrame:
 def append_new(batch: DataFrame, root: str) -> DataFrame:
     """Adds the messages of batch that the store at root doesn't hold yet; returns those added.
 
-    The store keeps the identifiers seen so far, a folder per batch, all of them named by its pointer, so a batch that is
-    delivered or processed twice adds nothing the second time. A batch reads the identifiers but writes only its own;
-    where its keys can be broadcast, the store isn't shuffled. Null identifiers are equal to each other.
+    The store keeps the identifiers seen so far, sorted, in a folder per batch, all named by its pointer, so a batch that
+    is delivered or processed twice adds nothing the second time. A batch reads only identifiers of the file numbers it
+    has itself (row groups of others are skipped by their ranges), and writes only its own; where its keys can be
+    broadcast, the store isn't shuffled. After COMPACTED batches their identifiers are put together. Null source_ids are
+    equal to each other.
     """
     spark = batch.sparkSession
     store = Published(spark, root)
     now, fresh = store.current(), first_copies(batch)
-    parts = now["parts"] if now else []
+    parts, ids = (now["parts"], now["ids"]) if now else ([], [])
     version = store.stage()
     path = f"{store.root}/{version}"
-    if parts:
+    if ids:
         same = lambda a, b: [a[k].eqNullSafe(b[k]) for k in MESSAGE]
         fresh = kept(fresh, "first-copies")
-        seen = spark.read.parquet(*[f"{store.root}/{p}/ids" for p in parts])
+        low, high = fresh.agg(F.min("file_no"), F.max("file_no")).first()
+        seen = _ids(spark, store.root, ids).where(F.col("file_no").between(low, high))
         keys = bounded(fresh.select(*MESSAGE))
         met = seen.join(keys, same(seen, keys), "left_semi").select(*[F.col(k).alias(f"_{k}") for k in MESSAGE])
         fresh = fresh.join(met, [fresh[k].eqNullSafe(met[f"_{k}"]) for k in MESSAGE], "left_anti")
     fresh.write.parquet(f"{path}/rows")
     added = spark.read.schema(fresh.schema).parquet(f"{path}/rows")
-    added.select(*MESSAGE).write.parquet(f"{path}/ids")
-    store.publish(version, parts=[*parts, version])
+    mine, together = added.select(*MESSAGE), len(ids) + 1 >= COMPACTED
+    if together:
+        mine = _ids(spark, store.root, ids).unionByName(mine)
+    mine.repartitionByRange("file_no", "log_pos").sortWithinPartitions("file_no", "log_pos").write.parquet(f"{path}/ids")
+    store.publish(version, parts=[*parts, version], ids=[version] if together else [*ids, version])
     return added
+
+
+def _ids(spark: SparkSession, root: str, versions: Sequence[str]) -> DataFrame:
+    return spark.read.schema("source_id string, file_no bigint, log_pos bigint").parquet(*[f"{root}/{v}/ids" for v in versions])
+
+
+def stored_messages(spark: SparkSession, root: str, schema: str | StructType) -> DataFrame:
+    """All messages that append_new() has added at root, under the columns of `schema`."""
+    now = Published(spark, root).current()
+    return spark.read.schema(schema).parquet(*[f"{root}/{p}/rows" for p in now["parts"]]) if now else spark.createDataFrame([], schema)

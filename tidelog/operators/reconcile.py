@@ -1,11 +1,12 @@
 """Comparing two copies of a dataset by what differs, not by all that is there.
 
-Each distinct row gets a hash in the field of 2**61 - 1 and a bucket by the hash of its key. Per bucket and side the
-characteristic polynomial, the product of (z - hash), is evaluated at a few points. The ratio of both sides' values is a
-rational function whose numerator and denominator are made of the hashes found on one side only, so as many values as
-there are differences suffice to recover them, however large the bucket is. The number of differences isn't known: the
-degree bound starts low and doubles in the buckets where further points don't verify the result. Only rows with a
-differing hash are then fetched and compared field by field.
+Each row gets a hash in the field of 2**61 - 1 and a bucket by the hash of its key. Input tasks send these hashes only, for
+each key those of its highest version; rows themselves stay where they are. Per bucket and side the characteristic
+polynomial, the product of (z - hash), is evaluated at a few points. The ratio of both sides' values is a rational
+function whose numerator and denominator are made of the hashes found on one side only, so as many values as there are
+differences suffice to recover them, however large the bucket is. The number of differences isn't known: the degree bound
+starts low and doubles in the buckets where further points don't verify the result. Only rows with a differing hash are
+then fetched and compared field by field.
 """
 
 from __future__ import annotations
@@ -24,9 +25,9 @@ from tidelog.session import all_kept, bounded, kept
 
 #: Rows a bucket is sized for, the first degree bound, the points beyond the bound that verify it, buckets in a group.
 BUCKET_ROWS, FIRST_DEGREE, CHECKS, GROUP = 24, 8, 2, 2048
-#: Buckets that a task solves.
-SOLVED = 1_000
-#: Beyond this bound a bucket's differing hashes are found by an anti join of hashes: its rows differ almost everywhere.
+#: Buckets that a task solves, and hashes that an input task holds before it passes its part on.
+SOLVED, HELD = 1_000, 1 << 20
+#: Beyond this bound a bucket's differing hashes are found by taking one set from the other: its rows differ almost everywhere.
 LAST_DEGREE = 64
 #: Points of evaluation are 1, 2, 3, …; hashes are above them all, so that no value is 0.
 _FIRST_HASH = 1 << 20
@@ -34,58 +35,139 @@ _KEY = ["db_name", "table_name", "record_key"]
 
 
 def canonical(rows: DataFrame, layouts: DataFrame, values: dict[str, Column], version: str | None = None) -> DataFrame:
-    """One row per key: db_name, table_name, record_key, cells (name and text of each field outside the key).
+    """Each row as db_name, table_name, record_key, cells (name and text of each field outside the key), version.
 
-    values gives each field as the text in which it is compared. layouts: table_name, table_fields, primary_keys. Rows of
-    a table without layout have an empty key list and so one common key, ''. Of rows with the same key the one with the
-    highest version counts; with equal versions, or none, repeated rows are one, and of unequal ones the greatest in the
-    order of its cells counts. A null key value is empty text in record_key. Names are plain.
+    values gives each field as the text in which it is compared. layouts: table_name, table_fields, primary_keys. The key
+    of a table without layout is all fields, so that each of its rows is compared as a whole. Of rows with the same key
+    the one with the highest version counts (null below all); with equal versions, or none, repeated rows are one, and of
+    unequal ones the greatest in the order of its cells counts; differences() decides that. A null key value is empty
+    text in record_key. Names are plain.
     """
     names = list(values)
     lists = layouts.select(plain_name("table_name").alias("table_name"), F.col("primary_keys").alias("_key"), F.col("table_fields").alias("_fields"))
     keyed = rows.select(
         plain_name("db_name").alias("db_name"), plain_name("table_name").alias("table_name"),
         F.array(*[F.struct(F.lit(n).alias("name"), values[n].alias("value")) for n in names]).alias("_cells"),
-        (F.col(version) if version else F.lit(0)).cast("bigint").alias("_version"),
+        F.coalesce((F.col(version) if version else F.lit(None)).cast("bigint"), F.lit(-(2**63))).alias("version"),
     ).join(bounded(lists), "table_name", "left")
-    empty = F.array().cast("array<string>")
-    keyed = keyed.withColumns({"_key": F.coalesce("_key", empty), "_fields": F.coalesce("_fields", F.lit(None).cast("array<string>"))})
+    keyed = keyed.withColumns({"_key": F.coalesce("_key", F.array(*map(F.lit, names))), "_fields": F.coalesce("_fields", F.lit(None).cast("array<string>"))})
     value = lambda k: F.coalesce(F.get(F.filter("_cells", lambda c: c["name"] == k)["value"], F.lit(0)), F.lit(""))
     cells = F.filter("_cells", lambda c: ~F.array_contains("_key", c["name"]) & F.coalesce(F.array_contains("_fields", c["name"]), F.lit(True)))
-    split = keyed.select("db_name", "table_name", F.array_join(F.transform("_key", value), "|").alias("record_key"), cells.alias("cells"), "_version")
-    return split.groupBy(*_KEY).agg(F.max(F.struct(F.coalesce("_version", F.lit(-(2**63))).alias("version"), "cells")).alias("_m")).select(*_KEY, "_m.cells")
+    return keyed.select("db_name", "table_name", F.array_join(F.transform("_key", value), "|").alias("record_key"), cells.alias("cells"), "version")
 
 
 def _hashed(side: DataFrame, buckets: int) -> DataFrame:
+    """side with key (the key's hash), bucket (by that hash) and hash (of the key and the cells, whatever the version)."""
     same = [F.coalesce(F.concat(F.lit("="), c), F.lit("")) for c in _KEY]
-    raw = F.pmod(F.xxhash64(*same, F.to_json("cells")), F.lit(field61.P - _FIRST_HASH))
-    return side.withColumns({"bucket": F.pmod(F.xxhash64(*same), F.lit(buckets)), "hash": raw + F.lit(_FIRST_HASH)})
+    key, raw = F.xxhash64(*same), F.pmod(F.xxhash64(*same, F.to_json("cells")), F.lit(field61.P - _FIRST_HASH))
+    return side.withColumns({"key": key, "bucket": F.pmod(key, F.lit(buckets)), "hash": raw + F.lit(_FIRST_HASH)})
 
 
-def _evaluator(points: int) -> Callable[[pa.Table], pa.Table]:
-    """For a group of buckets: each bucket's row count and the values of its characteristic polynomial at 1..points."""
+def _newest(key: np.ndarray, version: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(keys, versions, hashes, whether tied): of each key its highest version's hash; where that version has several, the
+    least and the greatest, tied."""
+    order = np.lexsort((h, version, key))
+    key, version, h = key[order], version[order], h[order]
+    if not len(key):
+        return key, version, h, np.empty(0, bool)
+    last = np.flatnonzero(np.r_[key[1:] != key[:-1], True])
+    group = np.cumsum(np.r_[False, key[1:] != key[:-1]])
+    top = np.flatnonzero(version == version[last][group])
+    first = top[np.flatnonzero(np.r_[True, group[top][1:] != group[top][:-1]])]
+    tied = h[first] != h[last]
+    keep = np.sort(np.r_[last, first[tied]])
+    return key[keep], version[keep], h[keep], tied[group[keep]]
+
+
+_HASHES = "key long, version long, hash long, g long"
+
+
+def _sender(buckets: int, group: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """What an input task sends: a hash per key, however many rows and versions of it the task meets."""
+
+    def out(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        whole = pa.Table.from_batches(held)
+        key, version, h, _ = _newest(*[whole[c].to_numpy() for c in ("key", "version", "hash")])
+        return pa.record_batch([pa.array(x) for x in (key, version, h, np.mod(key, buckets) // group)], ["key", "version", "hash", "g"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            held.append(batch)
+            if sum(x.num_rows for x in held) >= HELD:
+                part = out(held)
+                held = [part.select(["key", "version", "hash"])]
+                if part.num_rows > HELD // 2:
+                    yield part
+                    held = []
+        if held:
+            yield out(held)
+
+    return run
+
+
+def _values(first: np.ndarray, count: np.ndarray, h: np.ndarray, points: int) -> np.ndarray:
+    """The values at 1..points of each bucket's characteristic polynomial; a bucket's hashes are h[first : first + count]."""
+    z = np.arange(1, points + 1, dtype=np.uint64)
+    product = np.ones((len(first), points), np.uint64)
+    for k in range(int(count.max(initial=0))):
+        has = np.flatnonzero(count > k)
+        product[has] = field61.mul(product[has], field61.minus(np.broadcast_to(z, (len(has), points)), h[first[has] + k].astype(np.uint64)[:, None]))
+    return product.astype(np.int64)
+
+
+def _lists(flat: np.ndarray, ends: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.r_[0, ends], pa.int32()), pa.array(flat, pa.int64()))
+
+
+_SKETCH = "bucket long, n long, values array<long>, hashes array<long>, tied array<long>"
+
+
+def _sketcher(points: int, buckets: int) -> Callable[[pa.Table], pa.Table]:
+    """For a group of buckets a row each: the number of hashes, the polynomial's values, the hashes, and the keys that are
+    tied, whose hashes aren't among them."""
 
     def run(table: pa.Table) -> pa.Table:
-        order = np.argsort(table["bucket"].to_numpy(), kind="stable")
-        bucket, h = table["bucket"].to_numpy()[order], table["hash"].to_numpy()[order].astype(np.uint64)
-        first = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
-        count = np.diff(np.r_[first, len(bucket)])
-        z = np.arange(1, points + 1, dtype=np.uint64)
-        product = np.ones((len(first), points), np.uint64)
-        for k in range(int(count.max())):
-            has = np.flatnonzero(count > k)
-            product[has] = field61.mul(product[has], field61.minus(np.broadcast_to(z, (len(has), points)), h[first[has] + k][:, None]))
-        values = pa.FixedSizeListArray.from_arrays(pa.array(product.astype(np.int64).ravel()), points).cast(pa.list_(pa.int64()))
-        return pa.table({"bucket": bucket[first], "n": count.astype(np.int64), "values": values})
+        key, _, h, tied = _newest(*[table[c].to_numpy() for c in ("key", "version", "hash")])
+        bucket = np.mod(key, buckets)
+        numbers = np.unique(bucket)
+        order = np.argsort(bucket, kind="stable")
+        key, h, tied, bucket = key[order], h[order], tied[order], bucket[order]
+
+        def placed(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            begin = np.searchsorted(bucket[x], numbers, side="left")
+            return begin, np.searchsorted(bucket[x], numbers, side="right")
+
+        (first, end), (_, tied_end) = placed(~tied), placed(tied)
+        h = h[~tied]
+        values = _values(first, end - first, h, points)
+        return pa.table(
+            {"bucket": numbers, "n": end - first, "values": _lists(values.ravel(), np.arange(1, len(numbers) + 1) * points), "hashes": _lists(h, end), "tied": _lists(key[tied], tied_end)}
+        )
 
     return run
 
 
-def _sketch(side: DataFrame, points: int) -> DataFrame:
-    """(bucket, n, values); a group of buckets is one call, rows of a bucket being few whatever the data's skew."""
-    grouped = side.select("bucket", "hash").groupBy(F.floor(F.col("bucket") / GROUP).alias("g"))
-    wanted = "bucket long, n long, values array<long>"
-    return grouped.applyInArrow(_evaluator(points), wanted)
+def _further(points: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Sketches with more points, from the hashes that they hold."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hashes = batch.column("hashes")
+            h, ends = hashes.flatten().to_numpy(), np.cumsum(hashes.value_lengths().to_numpy())
+            first = np.r_[0, ends[:-1]].astype(np.int64)
+            values = _lists(_values(first, ends - first, h, points).ravel(), np.arange(1, batch.num_rows + 1) * points)
+            yield pa.record_batch([batch.column("bucket"), batch.column("n"), values, hashes, batch.column("tied")], ["bucket", "n", "values", "hashes", "tied"])
+
+    return run
+
+
+def sketches(side: DataFrame, buckets: int) -> DataFrame:
+    """A row per bucket, as _sketcher gives it, of rows with key, version and hash. One shuffle, of hashes only."""
+    tasks = int(side.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    group = max(1, min(GROUP, buckets // (2 * tasks)))
+    sent = side.select("key", "version", "hash").mapInArrow(_sender(buckets, group), _HASHES)
+    return sent.groupBy("g").applyInArrow(_sketcher(FIRST_DEGREE + CHECKS, buckets), _SKETCH)
 
 
 @lru_cache
@@ -142,43 +224,59 @@ def _solver(bound: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
 
 
 def differing_hashes(a: DataFrame, b: DataFrame, buckets: int) -> DataFrame:
-    """(bucket, side, hash) of the rows found on one side only; a and b have bucket (below buckets) and hash, each hash once."""
-    a, b, bound, parts = a.select("bucket", "hash"), b.select("bucket", "hash"), FIRST_DEGREE, []
+    """(bucket, side, hash) of the hashes found on one side only; a and b as from sketches(), buckets of them."""
+    bound, parts = FIRST_DEGREE, []
     while True:
-        points = bound + CHECKS
-        left, right = _sketch(a, points), _sketch(b, points).select("bucket", F.col("n").alias("m"), F.col("values").alias("others"))
-        both = left.join(right, "bucket", "full")
+        both = a.select("bucket", "n", "values").join(b.select("bucket", F.col("n").alias("m"), F.col("values").alias("others")), "bucket", "full")
         unlike = both.where(~(F.col("n").eqNullSafe(F.col("m")) & F.col("values").eqNullSafe(F.col("others"))))
         # Solving is arithmetic on a few numbers per bucket; small as they are, they are spread over tasks by number.
         tasks = max(int(a.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-buckets // SOLVED))
         result = kept(unlike.repartition(tasks, "bucket").mapInArrow(_solver(bound), "bucket long, side string, hash long"), "differing")
         parts.append(result.where("side <> '?'"))
         open_ = result.where("side = '?'").select("bucket")
-        if not open_.limit(1).count():
+        buckets = open_.count()
+        if not buckets:
             break
-        a, b = all_kept(*[(x.join(open_, "bucket", "left_semi"), "open-buckets") for x in (a, b)])
+        a, b = (x.join(bounded(open_), "bucket", "left_semi") for x in (a, b))
         if bound >= LAST_DEGREE:
-            parts += [x.join(y, ["bucket", "hash"], "left_anti").select("bucket", F.lit(s).alias("side"), "hash") for x, y, s in ((a, b, "a"), (b, a, "b"))]
+            none = F.array().cast("array<long>")
+            met = a.select("bucket", F.col("hashes").alias("x")).join(b.select("bucket", F.col("hashes").alias("y")), "bucket", "full")
+            only = lambda x, y, s: met.select("bucket", F.lit(s).alias("side"), F.explode(F.array_except(F.coalesce(x, none), F.coalesce(y, none))).alias("hash"))
+            parts += [only("x", "y", "a"), only("y", "x", "b")]
             break
-        bound, buckets = bound * 2, max(1, open_.count())
+        bound *= 2
+        a, b = all_kept(*[(x.mapInArrow(_further(bound + CHECKS), _SKETCH), "open-buckets") for x in (a, b)])
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
     return out
 
 
+def _fetched(side: DataFrame, found: DataFrame, tied: DataFrame | None) -> DataFrame:
+    """The row that counts of each key that has a differing hash or is tied on either side."""
+    rows = side.join(bounded(found), ["bucket", "hash"], "left_semi").select(*_KEY, "cells", "version")
+    if tied is not None:
+        rows = rows.unionByName(side.join(tied, "key", "left_semi").select(*_KEY, "cells", "version"))
+    newest = F.max(F.struct("version", "cells")).alias("_m")
+    return rows.groupBy(*_KEY).agg(newest).select(*_KEY, "_m.cells")
+
+
 def differences(a: DataFrame, b: DataFrame, names: tuple[str, str] = ("missing_in_source", "missing_in_target")) -> DataFrame:
     """(db_name, table_name, record_key, field_name, a_value, b_value) of all that differs between canonical() sides.
 
     A key on one side only gives one row, whose field_name is names[0] where a lacks it and names[1] where b does. Else
-    each field whose values differ gives a row; null equals only null. Two empty sides give no row.
+    each field whose values differ gives a row; null equals only null. Two empty sides give no row. Both sides are read
+    twice, once for their hashes and once for the rows that differ; neither is written or shuffled as a whole.
     """
-    a, b = all_kept((a, "side-a"), (b, "side-b"))
     buckets = max(1, -(-max(a.count(), b.count()) // BUCKET_ROWS))
     a, b = _hashed(a, buckets), _hashed(b, buckets)
-    found = kept(differing_hashes(a, b, buckets), "found")
-    fetch = lambda x, s: x.join(found.where(F.col("side") == s).select("bucket", "hash"), ["bucket", "hash"], "left_semi")
-    left, right = fetch(a, "a").select(*_KEY, F.col("cells").alias("a_cells")), fetch(b, "b").select(*_KEY, F.col("cells").alias("b_cells"))
+    left, right = all_kept((sketches(a, buckets), "side-a"), (sketches(b, buckets), "side-b"))
+    found = kept(differing_hashes(left, right, buckets), "found")
+    # Keys whose highest version has several rows are compared in any case.
+    tied = left.select(F.explode("tied").alias("key")).union(right.select(F.explode("tied").alias("key"))).distinct()
+    tied = bounded(tied) if tied.limit(1).count() else None
+    left, right = (_fetched(x, found.where(F.col("side") == s).select("bucket", "hash"), tied) for x, s in ((a, "a"), (b, "b")))
+    left, right = left.withColumnRenamed("cells", "a_cells"), right.withColumnRenamed("cells", "b_cells")
     tag = lambda x: x.select(F.struct(*_KEY).alias("k"), F.lit(True).alias("here"), F.col(x.columns[-1]))
     left, right = tag(left), tag(right).withColumnRenamed("here", "there")
     met = left.join(right, left["k"].eqNullSafe(right["k"]), "full").select(

@@ -43,6 +43,17 @@ def p2_first_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def p2_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log in three parts, one after another, each freed of the messages that were stored before it."""
+    log, root = table(spark, sf_dir, "log_events"), shared_dir(spark, "messages")
+    count = (log.agg(F.max("batch_no")).first()[0] or 0) + 1
+    part = F.expr(f"coalesce(batch_no, 0) * 3 div {count}")
+    for i in range(3):
+        added = messages.append_new(log.where(part == i), root)
+    kept = messages.stored_messages(spark, root, added.schema)
+    return kept.select("source_id", "file_no", "log_pos", "delivery_no", part.cast("bigint").alias("part"))
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_statistics.heavy_keys(table(spark, sf_dir, "log_events")).select("db_name", "table_name")
 
@@ -81,7 +92,7 @@ def p5_differences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (p1_found, p1_current_rows, p1_batches, p2_found, p2_first_copies, p3_found, p3_profile, p4_found, p4_table, p5_found, p5_differences)
+    for f in (p1_found, p1_current_rows, p1_batches, p2_found, p2_first_copies, p2_batches, p3_found, p3_profile, p4_found, p4_table, p5_found, p5_differences)
 }
 
 
@@ -159,6 +170,20 @@ met AS (SELECT coalesce(a.db, b.db) AS db_name, coalesce(a.tbl, b.tbl) AS table_
     FROM source a FULL JOIN target b ON a.db = b.db AND a.tbl = b.tbl AND a.record_key = b.record_key)
 SELECT db_name, table_name, record_key, unnest(names) AS field_name FROM met"""
 
+_P5_VALUES = f"""
+WITH {_side("source", "try_cast(created_at AS TIMESTAMP)", "id")},
+{_side("target", "created_at", "_version")},
+texts AS (SELECT coalesce(a.db, b.db) AS db_name, coalesce(a.tbl, b.tbl) AS table_name, coalesce(a.record_key, b.record_key) AS record_key,
+    a.db IS NULL AS no_a, b.db IS NULL AS no_b, unnest([
+        {", ".join("{{'f': '{0}', 'x': {1}, 'y': {2}}}".format(c, t.format("a." + c), t.format("b." + c)) for c, t in (
+            ("display_name", "{}"), ("age", "CAST({} AS VARCHAR)"), ("kind", "{}"), ("amount", "CAST(CAST({} AS DECIMAL(24, 6)) AS VARCHAR)"),
+            ("created_at", "CAST(epoch_us({}) AS VARCHAR)"), ("field1", "{}")))}
+    ]) AS c
+    FROM source a FULL JOIN target b ON a.db = b.db AND a.tbl = b.tbl AND a.record_key = b.record_key)
+SELECT DISTINCT db_name, table_name, record_key, CASE WHEN no_a THEN 'missing_in_source' WHEN no_b THEN 'missing_in_target' ELSE c.f END AS field_name,
+    CASE WHEN NOT no_a AND NOT no_b THEN c.x END AS a_value, CASE WHEN NOT no_a AND NOT no_b THEN c.y END AS b_value
+FROM texts WHERE no_a OR no_b OR c.x IS DISTINCT FROM c.y"""
+
 _P4 = f"""
 WITH s AS (SELECT {_plain("db_name")} AS db, {_plain("table_name")} AS tbl, file_no, table_fields, primary_keys FROM table_structures),
 files AS (SELECT DISTINCT db, tbl, file_no, list_transform(primary_keys, lambda p: {_plain("p")}) AS pk FROM s),
@@ -196,8 +221,13 @@ ORACLE = {
     "p1_batches": _P1.format(_PAYLOAD),
     "p2_found": _P2_RANKED + " SELECT source_id, file_no, log_pos FROM ranked WHERE n = 2",
     "p2_first_copies": _P2_RANKED + " SELECT source_id, file_no, log_pos, delivery_no, batch_no, event_type, records FROM ranked WHERE n = 1",
+    "p2_batches": f"""WITH {_MESSAGES}, b AS (SELECT max(batch_no) + 1 AS n FROM log_events),
+    parts AS (SELECT m.*, coalesce(batch_no, 0) * 3 // n AS part FROM m, b WHERE {_PLACED})
+    SELECT source_id, file_no, log_pos, delivery_no, part FROM parts
+    QUALIFY row_number() OVER (PARTITION BY source_id, file_no, log_pos ORDER BY part, received_at NULLS LAST, delivery_no) = 1""",
     "p3_found": f"""WITH {_MESSAGES} SELECT db AS db_name, tbl AS table_name FROM m WHERE db IS NOT NULL AND tbl IS NOT NULL GROUP BY ALL
         HAVING count(*) >= 0.05 * (SELECT count(*) FROM log_events)""",
     "p3_profile": _P3,
     "p5_found": _P5,
+    "p5_differences": _P5_VALUES,
 }
