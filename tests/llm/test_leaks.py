@@ -132,3 +132,34 @@ def test_near_recall_on_runs_of_23_and_24_words():
     for every in (23, 24):
         found = {(t, k) for t, k, s in L.matches(index, [altered(rng, t, every) for _, t in items], False, 0.8)}
         assert {(i, i) for i in range(100)} <= found
+
+
+def test_repeated_windows_make_few_pairs():
+    import tracemalloc
+
+    zeros = L.ItemIndex.build([(1, "0 " * 200), (2, "0 1 " * 100)])
+    assert len(zeros.at) == 3
+    tracemalloc.start()
+    for exact in (True, False):
+        assert sorted((t, k) for t, k, _ in L.matches(zeros, ["0 " * 100_000, "0 1 " * 50_000, "1 2 " * 500], exact, 0.8)) == [(0, 0), (1, 1)]
+    assert tracemalloc.get_traced_memory()[1] < 1 << 30
+    tracemalloc.stop()
+
+
+def test_pairs_come_in_pieces(monkeypatch):
+    import random
+
+    monkeypatch.setattr(L, "_PIECE", 7)
+    rng = random.Random(2)
+    item = " ".join(rng.choice("abcdefgh") for _ in range(300))
+    index = L.ItemIndex.build([(i, item) for i in range(5)])
+    assert sorted(L.matches(index, ["x " + item + " y", item[:40], item[20:400]], True, 0.8)) == [(t, k, 1.0) for t in (0, 2) for k in range(5)]
+
+
+def test_items_shorter_than_a_window(spark):
+    short, tiny, long = "the quick brown fox jumps over the lazy dog", "one two three", " ".join(f"w{i}" for i in range(30))
+    items = spark.createDataFrame([(1, short), (2, tiny), (3, long), (4, ""), (5, None)], "item_id bigint, item_text string")
+    docs = spark.createDataFrame([(1, f"a b. {short.upper()}! c"), (2, "the quick brown fox"), (3, f"{tiny} {long}"), (4, "x the quick brown fox jumps over the lazy cat")], "doc_id bigint, text string")
+    got = lambda **kw: {(r.doc_id, r.item_id) for r in L.leaks(docs, items, **kw).collect()}
+    assert got() == {(3, 3)}
+    assert got(exact=False) == {(1, 1), (3, 3)}

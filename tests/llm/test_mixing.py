@@ -83,3 +83,23 @@ def test_token_counts(spark):
         ids = encode.encode_ordinary(text or "")
         assert got[i][1] == len(ids) and encode.decode(ids) == (text or "")
     assert [got[i][0] for i in (1, 2, 3, 4)] == ["a_b", None, "a_b", "a_b"]
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_what_is_left_is_short(seed):
+    rng = np.random.default_rng(seed)
+    size = np.sort(rng.lognormal(6, 1 + seed / 6, 2000).astype(int) + 1)[::-1]
+    for p in (0.15, 0.3, 0.5, 0.8):
+        out = m.settled(p, size, rng)
+        open_ = np.flatnonzero((out > 0) & (out < 1))
+        assert len(open_) <= 1 and abs((out * size).sum() - p * size.sum()) < 1e-6 * size.sum()
+        assert all(size[open_] <= np.median(size)) and set(np.delete(out, open_)) <= {0.0, 1.0}
+
+
+def test_settled_keeps_expectations():
+    rng, size = np.random.default_rng(1), np.array([900, 500, 300, 200, 90, 80, 70, 60, 50, 40, 30, 20, 10, 9, 8, 7, 6, 5, 4, 3])
+    mean = sum(m.settled(0.3, size, rng) for _ in range(6000)) / 6000
+    assert np.abs(mean - 0.3).max() < 0.03
+    assert m.settled(0.3, np.array([5]), rng).tolist() == [0.3] and len(m.settled(0.3, np.array([], int), rng)) == 0
+    giant = m.settled(0.5, np.array([10_000, 3, 2, 1]), rng)
+    assert ((giant > 0) & (giant < 1)).sum() <= 1

@@ -104,6 +104,23 @@ def fingerprints(h: np.ndarray, window: int = WINDOW, size: int = SHINGLE) -> np
     return np.packbits(ones * kind(2) > kind(span), axis=1).view(np.uint64).ravel()
 
 
+def _membership(keys: np.ndarray) -> np.ndarray:
+    """By low bits, whether a key with these occurs: most lookups end here. Its size follows the number of keys."""
+    held = np.zeros(1 << min(24, max(10, int(len(keys)).bit_length() + 5)), bool)
+    held[keys & keys.dtype.type(len(held) - 1)] = True
+    return held
+
+
+def _hits(held: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    return np.flatnonzero(held[keys & keys.dtype.type(len(held) - 1)])
+
+
+def _first_of(text: np.ndarray, content: np.ndarray) -> np.ndarray:
+    """Of entries equal in both, the place of the first, in order."""
+    _, first = np.unique(np.stack([text.astype(np.uint64), content.astype(np.uint64)], axis=1), axis=0, return_index=True)
+    return np.sort(first)
+
+
 def _expanded(lo: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(i, lo[i] + step) for each i and each step below count[i]."""
     who = np.repeat(np.arange(len(lo)), count)
@@ -129,21 +146,19 @@ class ShingleLookup:
             inside = np.cumsum(edges)[:-1] > 0
             # Of an item's windows with the same shingles one is enough.
             sums = _span_sums(self.shingles, self.span)[index.at]
-            _, first = np.unique(np.stack([index.item.astype(np.uint64), sums], axis=1), axis=0, return_index=True)
-            self.windows = np.sort(first)
+            self.windows = _first_of(index.item, sums)
         else:
             self.windows = np.empty(0, np.int64)
         self.at = index.at[self.windows]
         places = np.flatnonzero(inside)
         self.order = places[np.argsort(self.shingles[places], kind="stable")]
         self.keys = self.shingles[self.order]
-        self.held = np.zeros(1 << 24, bool)
-        self.held[self.keys & np.uint64(0xFFFFFF)] = True
+        self.held = _membership(self.keys)
 
     def counts(self, shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(where its places begin in `order`, how many they are) of each shingle."""
         lo, count = np.zeros(len(shingles), np.int64), np.zeros(len(shingles), np.int64)
-        maybe = np.flatnonzero(self.held[shingles & np.uint64(0xFFFFFF)])
+        maybe = _hits(self.held, shingles)
         lo[maybe] = np.searchsorted(self.keys, shingles[maybe], side="left")
         count[maybe] = np.searchsorted(self.keys, shingles[maybe], side="right") - lo[maybe]
         return lo, count
@@ -168,37 +183,48 @@ class ItemIndex:
         hashes, begins = word_hashes([text for _, text in items])
         prints, at = fingerprints(hashes, window), np.arange(max(0, len(hashes) - window + 1))
         item = np.searchsorted(begins, at, side="right") - 1
-        whole = at + window <= begins[item + 1] if len(at) else np.empty(0, bool)
+        at = np.flatnonzero(at + window <= begins[item + 1]) if len(at) else at
+        # A window that an item repeats counts once.
+        at = at[_first_of(item[at], shingle_hashes(hashes, window)[at])] if len(at) else at
         ids = np.array([i for i, _ in items], np.int64)
-        return ItemIndex(ids, prints[whole], item[whole], at[whole], hashes, radius, window)
+        return ItemIndex(ids, prints[at], item[at], at, hashes, radius, window)
 
     def block(self, prints: np.ndarray, b: int) -> np.ndarray:
         n = self.radius + 1
         low, high = BITS * b // n, BITS * (b + 1) // n
         return ((prints >> np.uint64(low)) & np.uint64((1 << (high - low)) - 1)).astype(np.int64)
 
-    def candidates(self, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(place in prints, window) of all pairs within the radius; a pair may come once per block."""
+    def lookups(self) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Per block: which values occur, the values in order, and the windows in that order."""
         if not self.tables:
             for b in range(self.radius + 1):
                 keys = self.block(self.prints, b)
                 order = np.argsort(keys, kind="stable")
-                held = np.zeros(1 << 24, bool)  # a block's low bits: most lookups end here
-                held[keys & 0xFFFFFF] = True
-                self.tables.append((held, keys[order], order))
-        left, right = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-        for b, (held, keys, order) in enumerate(self.tables):
-            mine = self.block(prints, b)
-            places = np.flatnonzero(held[mine & 0xFFFFFF])
-            lo, hi = (np.searchsorted(keys, mine[places], side=s) for s in ("left", "right"))
-            count = hi - lo
-            who = np.repeat(places, count)
-            step = np.arange(len(who)) - np.repeat(np.cumsum(count) - count, count)
-            window = order[np.repeat(lo, count) + step]
-            near = np.bitwise_count(prints[who] ^ self.prints[window]) <= self.radius
-            left.append(who[near])
-            right.append(window[near])
-        return np.concatenate(left), np.concatenate(right)
+                self.tables.append((_membership(keys), keys[order], order))
+        return self.tables
+
+    def met(self, prints: np.ndarray) -> np.ndarray:
+        """Places in prints, one of whose blocks occurs among the windows'."""
+        places = [_hits(held, self.block(prints, b)) for b, (held, _, _) in enumerate(self.lookups())]
+        return np.unique(np.concatenate(places))
+
+    def pairs(self, prints: np.ndarray, places: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(place in prints, window) of all pairs within the radius, in pieces; a pair may come once per block."""
+        for b, (_, keys, order) in enumerate(self.lookups()):
+            mine = self.block(prints[places], b)
+            lo, hi = (np.searchsorted(keys, mine, side=s) for s in ("left", "right"))
+            cuts = np.searchsorted(np.cumsum(hi - lo), np.arange(_PIECE, int((hi - lo).sum()) + _PIECE, _PIECE), side="right")
+            for first, last in zip([0, *cuts], [*cuts, len(places)], strict=True):
+                # A window that meets more than a piece makes one by itself.
+                who, at = _expanded(lo[first:last], (hi - lo)[first:last])
+                window, who = order[at], places[first:last][who]
+                near = np.bitwise_count(prints[who] ^ self.prints[window]) <= self.radius
+                yield who[near], window[near]
+
+    def candidates(self, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All pairs() of these prints at once, for few of them."""
+        parts = list(self.pairs(prints, self.met(prints))) or [(np.empty(0, np.int64),) * 2]
+        return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
 
 
 def similarity(a: np.ndarray, b: np.ndarray, size: int = SHINGLE) -> float:
@@ -211,8 +237,8 @@ def similarity(a: np.ndarray, b: np.ndarray, size: int = SHINGLE) -> float:
     return both / total if total else 0.0
 
 
-#: Pairs of windows that are compared at once.
-_PAIRS = 1 << 12
+#: Pairs of windows that are compared at once, by shingles and by fingerprints.
+_PAIRS, _PIECE = 1 << 12, 1 << 16
 
 
 def _shared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -240,8 +266,7 @@ def near(index: ItemIndex, part: np.ndarray, text: np.ndarray, whole: np.ndarray
     at = np.flatnonzero((known >= need) & whole)
     if not len(at):
         return
-    _, first = np.unique(np.stack([text[at].astype(np.uint64), _span_sums(shingles, span)[at]], axis=1), axis=0, return_index=True)
-    at = at[np.sort(first)]
+    at = at[_first_of(text[at], _span_sums(shingles, span)[at])]
     steps = np.arange(span)
     for start in range(0, len(at), 256):
         mine = at[start : start + 256]
@@ -272,42 +297,49 @@ def near(index: ItemIndex, part: np.ndarray, text: np.ndarray, whole: np.ndarray
 
 
 def matches(index: ItemIndex, texts: list[str | None], exact: bool, least: float) -> Iterator[tuple[int, int, float]]:
-    """(place of the text, place of the item, best similarity) of each pair with a verified window."""
+    """(place of the text, place of the item, best similarity) of each pair with a verified window.
+
+    Of windows that a text repeats one is looked at, so pairs are as many as different windows of both sides that meet.
+    """
     hashes, begins = word_hashes(texts)
     best: dict[tuple[int, int], float] = {}
-    w = index.window
+    w, span = index.window, np.arange(index.window)
     for start in range(0, max(0, len(hashes) - w + 1), _PART):
         part = hashes[start : start + _PART + w - 1]
-        here, window = index.candidates(fingerprints(part, w))
-        text = np.searchsorted(begins, here + start, side="right") - 1
-        whole = (here + start + w <= begins[text + 1]) & (part[here] == index.hashes[index.at[window]])
-        here, window, text = here[whole], window[whole], text[whole]
-        span = np.arange(w)
-        equal = (part[here[:, None] + span] == index.hashes[index.at[window][:, None] + span]).all(axis=1)
-        best |= dict.fromkeys(zip(text[equal].tolist(), index.item[window[equal]].tolist(), strict=True), 1.0)
+        at = np.arange(start, start + len(part) - w + 1)
+        text = np.searchsorted(begins, at, side="right") - 1
+        whole = at + w <= begins[text + 1]
+        prints = fingerprints(part, w)
+        met = index.met(prints)
+        met = met[whole[met]]
+        if len(met):
+            met = met[_first_of(text[met], shingle_hashes(part, w)[met])]
+        for here, window in index.pairs(prints, met):
+            same = part[here] == index.hashes[index.at[window]]
+            here, window = here[same], window[same]
+            equal = (part[here[:, None] + span] == index.hashes[index.at[window][:, None] + span]).all(axis=1)
+            best |= dict.fromkeys(zip(text[here[equal]].tolist(), index.item[window[equal]].tolist(), strict=True), 1.0)
         if not exact:
-            at = np.arange(start, start + len(part) - w + 1)
-            text = np.searchsorted(begins, at, side="right") - 1
-            near(index, part, text, at + w <= begins[text + 1], least, best)
+            near(index, part, text, whole, least, best)
     for (t, k), s in best.items():
         yield t, k, s
 
 
 def _scan(shared: Broadcast, exact: bool, least: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = shared.value
         for whole in batches:
             for start in range(0, whole.num_rows, 500):
                 batch = whole.slice(start, 500)
-                found = list(matches(index, batch.column(1).to_pylist(), exact, least))
-                yield pa.record_batch(
-                    [
-                        batch.column(0).take(pa.array([t for t, _, _ in found], pa.int64())),
-                        pa.array(index.item_ids[[k for _, k, _ in found]], pa.int64()),
-                        pa.array([s for _, _, s in found], pa.float64()),
-                    ],
-                    ["doc_id", "item_id", "similarity"],
-                )
+                for index in shared.value:
+                    found = list(matches(index, batch.column(1).to_pylist(), exact, least))
+                    yield pa.record_batch(
+                        [
+                            batch.column(0).take(pa.array([t for t, _, _ in found], pa.int64())),
+                            pa.array(index.item_ids[[k for _, k, _ in found]], pa.int64()),
+                            pa.array([s for _, _, s in found], pa.float64()),
+                        ],
+                        ["doc_id", "item_id", "similarity"],
+                    )
 
     return run
 
@@ -318,7 +350,8 @@ def leaks(docs: DataFrame, items: DataFrame, exact: bool = True, least: float =
     exact: a window of the item stands in the document word for word (similarity 1), whose fingerprints are looked up within
     `radius` bits; else a window of it is at least `least` (above 0) similar to one of the document in its weighted
     five-word shingles, whatever the fingerprints; the best is given.
-    Null and empty texts and texts below `window` words share nothing. Rows with the same doc_id count as one document
+    An item of fewer than `window` words has no passage of that many, so it shares nothing with exact; without, its windows
+    are the whole item, from SHINGLE words on. Null and empty texts and texts without such a window share nothing. Rows with the same doc_id count as one document
     each; pairs come once. The items are read in parts of PASS_WORDS words; documents are never moved.
     """
     spark = docs.sparkSession
@@ -328,7 +361,10 @@ def leaks(docs: DataFrame, items: DataFrame, exact: bool = True, least: float =
     found, part, held = None, [], 0
 
     def scanned(rows: list[tuple[int, str | None]]) -> DataFrame:
-        return slim.mapInArrow(_scan(spark.sparkContext.broadcast(ItemIndex.build(rows, window, radius)), exact, least), schema)
+        sized = [(min(window, len(words(text))), item, text) for item, text in rows]
+        least_words = window if exact else SHINGLE
+        built = [ItemIndex.build([(i, t) for n, i, t in sized if n == size], size, radius) for size in sorted({n for n, _, _ in sized if n >= least_words})]
+        return slim.mapInArrow(_scan(spark.sparkContext.broadcast(built), exact, least), schema)
 
     for row in sized.where("item_text IS NOT NULL").orderBy("item_id").toLocalIterator():
         if part and held + row["n"] > PASS_WORDS:

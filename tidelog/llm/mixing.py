@@ -4,8 +4,9 @@ A source's documents should occur so many times on average that its tokens make
 part of that number is given to each document; the fractional part is a probability, and dependent rounding makes it 0
 or 1: of two undecided documents, token mass is moved from one to the other, in a direction drawn so that neither
 expectation changes, until one of them is decided. The mass that a source shall have is kept at every step, so its
-tokens end within one document of the target, whatever is drawn; long documents are decided first, to keep that one
-short.
+tokens end within one document of the target, whatever is drawn. To make that a short one, the longest documents are
+paired among themselves first, and the one left is decided against all shorter ones together, which have one probability
+still; then the same with these.
 
 Undecided documents are paired off inside chunks of bounded size; each chunk leaves at most one, and what chunks leave
 is paired off again, a level of a tree at a time. A source of any size thus never meets in one task.
@@ -86,16 +87,51 @@ def paired_off(p: np.ndarray, size: np.ndarray, draw: np.random.Generator) -> np
     return p
 
 
+#: Documents that are paired to the end without a pool of shorter ones behind them, and the part of the open documents
+#: that is paired off at a time.
+RESERVE, SHARE = 8, 16
+
+
+def settled(p: float, size: np.ndarray, draw: np.random.Generator) -> np.ndarray:
+    """Documents of falling size, all of probability p, until at most one is undecided: one of the shortest RESERVE, unless
+    a document outweighs what all that are shorter may give or take.
+
+    The longest, a part in SHARE, are paired off. The one left then trades with the pool of all shorter documents: it
+    becomes 1 with its own probability, else 0, and the pool's common probability falls or rises by the mass that this
+    takes, so that no expectation changes. Where the pool can't, it is paired on with the next part.
+    """
+    out, n, at, left = np.full(len(size), float(p)), len(size), 0, []
+    while at < n:
+        end = at + -(-(n - at) // SHARE) if n - at > RESERVE else n
+        out[at:end] = p
+        members = np.array([*left, *range(at, end)])
+        out[members] = paired_off(out[members], size[members], draw)
+        left, at = [k for k in members.tolist() if 0.0 < out[k] < 1.0], end
+        pool = float(size[at:].sum())
+        if not left or not 0.0 < p < 1.0:
+            continue
+        k = left[0]
+        taken, given = (1.0 - out[k]) * size[k], out[k] * size[k]
+        if taken <= p * pool and given <= (1.0 - p) * pool and pool:
+            one = draw.random() < out[k]
+            out[k], p, left = float(one), p - taken / pool if one else p + given / pool, []
+            if p < 1e-12 or p > 1.0 - 1e-12:
+                p = float(round(p))
+    return out
+
+
 _LEVEL = "source string, node bigint, place bigint, tokens bigint, p double"
 
 
 def _reducer(seed: int, level: int, last: bool) -> Callable[[pa.Table], pa.Table]:
     def run(table: pa.Table) -> pa.Table:
-        # From the longest down: a long document is decided while there is mass left to trade, what remains is short.
+        # From the longest down: long documents are decided while there is mass left to trade, what remains is short.
         table = table.sort_by([("tokens", "descending"), ("place", "ascending")])
         source, node = table["source"][0].as_py(), table["node"][0].as_py()
         draw = np.random.default_rng([seed, level, node, *source.encode()])
-        p = paired_off(table["p"].to_numpy(), table["tokens"].to_numpy(), draw)
+        p, size = table["p"].to_numpy(), table["tokens"].to_numpy()
+        # All of a source begin with one probability; what chunks have left over has several.
+        p = settled(p[0], size, draw) if level == 0 else paired_off(p, size, draw)
         if last:
             p = np.where((p > 0) & (p < 1), draw.random(len(p)) < p, p)
         return table.set_column(table.schema.get_field_index("p"), "p", pa.array(p, pa.float64()))

@@ -38,9 +38,8 @@ MARKS = "“”‘’–—…•«»¿¡°±µ§©®£€→←↑↓≥≤≠
 BOXES = ("─│┌┐└┘├┤┬┴┼", "═║╔╗╚╝╠╣╦╩╬")
 
 #: What an operation costs on top of its result's characters, and what a stretch must gain to count as garbled,
-#: how many states are
-#: followed, and what a letter costs that the language fitting best doesn't have.
-STEP, STEP_LEGACY, GAIN, SHARE, EXPANDED, MIXED = 1.0, 1.5, 3.5, 0.25, 8, 2.0
+#: and what a letter costs that the language fitting best doesn't have.
+STEP, STEP_LEGACY, GAIN, SHARE, MIXED = 1.0, 1.5, 3.5, 0.25, 2.0
 #: Cost for each character beyond ASCII up to which text is plausible as it stands.
 PLAUSIBLE = 1.15
 
@@ -49,7 +48,7 @@ _WEIGHT = {
     "a": 0.0, "A": 0.0, "0": 0.0, ".": 0.0, " ": 0.0, "'": 0.0,
     "l": 0.9, "L": 1.1, "e": 0.9, "E": 1.1, "c": 0.4, "d": 1.2, "i": 2.4, "C": 0.7, "D": 1.6, "I": 2.8, "j": 2.0, "J": 2.6,
     "g": 0.8, "G": 1.2, "y": 2.5, "h": 1.1, "H": 3.2, "X": 4.5, "k": 0.9, "K": 3.5, "o": 1.6,
-    "p": 1.0, "b": 0.0, "B": 0.0, "q": 2.0, "s": 2.5, "w": 0.4, "z": 6.0, "f": 7.0, "u": 7.0, "v": 2.0, ",": 0.5,
+    "m": 2.0, "p": 1.0, "b": 0.0, "B": 0.0, "q": 2.0, "s": 2.5, "w": 0.4, "z": 6.0, "f": 7.0, "u": 7.0, "v": 2.0, ",": 0.5,
 }
 _LETTERS = "aAlLeEcdiCDIjJgGyhHXkKo"  # classes of letters
 _LATIN, _CYR, _GREEK, _EAST = "aAlLeE", "cdiCDIjJ", "gGy", "hHXkKo"
@@ -67,6 +66,8 @@ _PAIRS = [
     (re.compile(f"(?=[{_LETTERS}][p][{_LETTERS}])"), 1.5),
     (re.compile("(?=[ps][ps])"), 1.0),
     (re.compile("(?=(?<![A-Za-z])[lLeEcdiCDIjJgGy](?![A-Za-z]))"), 1.5),
+    # A combining mark stands behind the letter it belongs to.
+    (re.compile(f"(?=(?<![{_LETTERS}m])m)"), 4.0),
     # A list of symbols with blanks between them is no garble.
     (re.compile("(?=(?<= )[sp](?= |$))"), -1.0),
     # A run of one kind of box drawing is one drawing; kinds don't mix, and letters don't touch it.
@@ -122,6 +123,8 @@ def _class_of(c: str) -> str:
     if n in (0xA0, 0xAD, 0xFEFF, 0x200B):
         return "w"
     kind = unicodedata.category(c)
+    if kind == "Mn" and n < 0x370:
+        return "m"
     if kind in ("Cn", "Co", "Cs", "Cc", "Cf"):
         return "u"
     if 0x400 <= n < 0x460:
@@ -211,6 +214,21 @@ def plausible(text: str) -> bool:
 
 
 _ESCAPED = re.compile(r"&(?:#\d+|#x[0-9a-fA-F]+|[A-Za-z]+\d?);")
+#: A character reference, escaped once or oftener, that isn't one of markup itself; the same for the JVM.
+REFERENCE = r"&(?:amp;)*(?:#[0-9]{2,7}|#[xX][0-9a-fA-F]{1,6}|(?!(?:lt|gt|amp|quot|apos|nbsp);)[A-Za-z]{2,8}[0-9]{0,2});"
+_REFERENCE = re.compile(REFERENCE)
+
+
+def silent(text: str) -> bool:
+    """Whether nothing in the text can be garbled: ASCII without character references."""
+    return text.isascii() and not _REFERENCE.search(text)
+
+
+def shown(text: str) -> str:
+    """The text without references, escaped however often."""
+    while (plain := html.unescape(text)) != text:
+        text = plain
+    return text
 
 
 def neighbours(text: str, legacy: bool) -> Iterator[tuple[float, str, str]]:
@@ -245,24 +263,26 @@ def search(text: str) -> tuple[str, tuple[str, ...]]:
     """The cheapest text in reach of `text` and the operations that lead there, none where `text` is it.
 
     A plausible state is left only by bytes that turn out to be UTF-8, which good text hardly ever forms by chance; so is
-    one that was reached that way.
+    one that was reached that way. Every operation costs something, so the search ends by itself, where no open state can
+    lead below the best. References hide characters, so ASCII text is searched from what it shows.
     """
-    start = cost(text)
-    best, best_cost, best_path = text, start, ()
-    heap: list[tuple[float, int, str, tuple[str, ...], float]] = [(start, 0, text, (), 0.0)]
-    met, n, followed = {hash(text)}, 0, 0
-    while heap and followed < EXPANDED:
+    begin = shown(text) if text.isascii() else text
+    start = cost(begin)
+    if begin != text and begin.isascii():
+        return text, ()
+    best, best_cost, best_path = begin, start, ()
+    heap: list[tuple[float, int, str, tuple[str, ...], float]] = [(start, 0, begin, (), 0.0)]
+    met, n = {begin}, 0
+    while heap:
         total, _, state, path, spent = heapq.heappop(heap)
         if total > best_cost + STEP and path:
             break  # nothing that is left can lead below the best but by a worse text
-        followed += 1
-        if len(path) >= 4:
+        if spent >= best_cost:
             continue
         for step, name, other in neighbours(state, not plausible(state) and not is_utf8(path)):
-            key = hash(other)
-            if key in met:
+            if other in met:
                 continue
-            met.add(key)
+            met.add(other)
             n += 1
             reached = cost(other) + spent + step
             if reached < best_cost:
@@ -270,7 +290,14 @@ def search(text: str) -> tuple[str, tuple[str, ...]]:
             # Unescaping shows characters that were hidden, so what it gives is looked at before it is judged.
             rank = total + step if name == "unescape" else reached
             heapq.heappush(heap, (rank, n, other, (*path, name), spent + step))
-    return best, best_path
+    if not best_path:
+        return text, ()
+    return best, ("unescape", *best_path) if begin != text else best_path
+
+
+def gain_of(text: str, found: str) -> float:
+    """How much less implausible found is than what text shows."""
+    return cost(shown(text) if text.isascii() else text) - cost(found)
 
 
 _LOST = re.compile(r"[^\W\d_]\ufffd|\ufffd[^\W\d_]|\s\ufffd\s|[\u0080-\u0084\u0086-\u009f]")
@@ -279,11 +306,11 @@ _LOST = re.compile(r"[^\W\d_]\ufffd|\ufffd[^\W\d_]|\s\ufffd\s|[\u0080-\u0084\u00
 def weight(text: str, found: str, path: tuple[str, ...]) -> tuple[float, int]:
     """(what the way from text to found gains, letters beyond ASCII that found has inside words) if found is plausible and
     much cheaper, else (0, 0)."""
-    before, after = cost(text), cost(found)
-    if not path or path == ("unescape",) or before - after < SHARE * before or not plausible(found):
+    gain = gain_of(text, found)
+    if not path or path == ("unescape",) or gain < SHARE * (gain + cost(found)) or not plausible(found):
         return 0.0, 0
     runs = _WORDS.findall(found.translate(_CLASSES))
-    return before - after, sum(len(r) - r.count("a") - r.count("A") for r in runs)
+    return gain, sum(len(r) - r.count("a") - r.count("A") for r in runs)
 
 
 def is_utf8(path: tuple[str, ...]) -> bool:
@@ -293,9 +320,13 @@ def is_utf8(path: tuple[str, ...]) -> bool:
 def accepted(text: str, found: str, path: tuple[str, ...]) -> bool:
     """Whether the way from text to found counts: bytes that turn out to be UTF-8 need little gain, others much."""
     if is_utf8(path):
-        return cost(text) - cost(found) >= 0.5
+        return gain_of(text, found) >= 0.5
     gain, letters = weight(text, found, path)
-    return gain >= GAIN and letters >= LETTERS
+    if gain < GAIN or letters < LETTERS:
+        return False
+    # Between right marks each part may be UTF-8 by itself, which says more than a legacy way for all of it.
+    parts = [m.group() for m in _FINE.finditer(text) if not silent(m.group())]
+    return not parts or parts == [text] or not all(is_utf8(search(p)[1]) for p in parts)
 
 
 #: Letters beyond ASCII that a way without UTF-8 must bring back, in a line or in all lines of a document together.
@@ -305,7 +336,10 @@ _WORDS = re.compile(f"[{_LETTERS}]{{2,}}|b{{2,}}")
 
 _QUOTES = "\"'`"
 _TOKEN = re.compile(r"[^ \t\r]+")
-_STRETCH = re.compile(r"(?:[A-Za-z]|[^\x00-\x7f]|&(?:#\d+|#x[0-9a-fA-F]+|[A-Za-z]+\d?);)+")
+_STRETCH = re.compile(rf"(?:[A-Za-z]|[^\x00-\x7f]|{REFERENCE})+")
+#: Parts of a stretch between marks that may be right as they are, such as the apostrophe of l’Ã©tÃ©.
+_FINE = re.compile(r"(?:[A-Za-z]|[^\x00-\x7f‘’“”–—…«»])+")
+_RUN = re.compile(rf"(?:[^\x00-\x7f]|{REFERENCE})+")
 
 
 def _one_script(text: str) -> bool:
@@ -321,7 +355,7 @@ def _exhibits(stretch: str, around: str, line: str = "") -> bool:
     quoted or with an arrow or sign of equality next to its right form, in the stretch or the line that holds it."""
     line = line or stretch
     some, context = False, around + line
-    for run in dict.fromkeys(re.findall(r"[^\x00-\x7f]+", stretch)):
+    for run in dict.fromkeys(m.group() for m in _RUN.finditer(stretch)):
         right, path = search(run)
         if not is_utf8(path) or right == run:
             continue
@@ -340,13 +374,13 @@ def _repaired_parts(parts: re.Pattern, text: str, line: str, around: str, legacy
 
     def restored(place: re.Match) -> str:
         part = place.group()
-        if part.isascii():
+        if silent(part):
             return part
         found, path = search(part)
         utf8 = is_utf8(path)
         if not accepted(part, found, path) or not (legacy or utf8) or _exhibits(part, around + line, line):
             return part
-        if _one_script(part) and not (utf8 and (cost(part) - cost(found) >= GAIN or not plausible(part))):
+        if _one_script(part) and not (utf8 and (gain_of(part, found) >= GAIN or not plausible(part))):
             return part
         ways.append(" ".join(path))
         return found
@@ -360,37 +394,45 @@ def repaired_line(line: str, around: str = "") -> tuple[str, list[str]]:
     No way means that nothing in the line is garbled, or that it shows garbled text as an example, with its right form
     beside it in the line or in `around`, the lines before and after it.
     """
-    if line.isascii():
+    if silent(line):
         return line, []
+    if line.isascii():  # what its markup escapes stays escaped, so only the stretches with other references are looked at
+        return _repaired_parts(_STRETCH, line, line, around, True)
     found, path = search(line)
     if accepted(line, found, path):
-        return (line, []) if _exhibits(line, around) else (found, [" ".join(path)])
+        if _exhibits(line, around):
+            return line, []
+        # What was restored may leave escaped words that are garbled as well.
+        found, more = _repaired_parts(_STRETCH, found, found, around, False) if _REFERENCE.search(found) else (found, [])
+        return found, [" ".join(path), *more]
     # However plausible the line is as a whole, each of its parts is looked at, first between blanks, then words alone.
     out, ways = _repaired_parts(_TOKEN, line, line, around, False)
     out, more = _repaired_parts(_STRETCH, out, line, around, plausible(line))
     ways += more
+    out, more = _repaired_parts(_FINE, out, line, around, False)
+    ways += more
     if not ways and _LOST.search(line):
         ways.append("lost")
     return out, ways
 
 
 def repaired(text: str | None) -> tuple[str | None, list[str]]:
-    """repaired_line over the lines of a text. Null and ASCII texts come back as they are.
+    """repaired_line over the lines of a text. Null and ASCII texts without references come back as they are.
 
     A way that is too weak in each line by itself counts where several different lines of the text together bear it out;
     where none does, the words of such lines are tried by themselves.
     """
-    if text is None or text.isascii():
+    if text is None or silent(text):
         return text, []
     lines, ways, left = text.split("\n"), [], {}
     weak: dict[tuple[str, ...], None] = {}
     weak_lines: dict[str, None] = {}
     for i, line in enumerate(lines):
-        if not line.isascii():
+        if not silent(line):
             around = "\n".join([*lines[max(0, i - 1) : i], *lines[i + 1 : i + 2]]) + "\n"
             lines[i], more = repaired_line(line, around)
             ways += more
-            if not more and not plausible(line):
+            if not more and not line.isascii() and not plausible(line):
                 found, path = search(line)
                 weak_lines[line], left[i] = None, around
                 if len(path) == 1 and weight(line, found, path)[1]:
@@ -434,9 +476,9 @@ def garbled(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     """(doc_id, restored, ways) of the documents with at least one garbled stretch.
 
     ways names the operations that restored a stretch, such as 'cp1252>utf-8', or 'lost' where bytes are gone; restored
-    is the whole text, stretches that can't be restored being left as they are. Null, empty and ASCII texts give no row
-    (no wrong decoding leaves ASCII alone, so these never reach Python). Repeated rows give repeated rows; extra columns
+    is the whole text, stretches that can't be restored being left as they are. Null and empty texts give no row, nor do
+    ASCII texts without character references (no wrong decoding leaves ASCII alone, so these never reach Python). Repeated rows give repeated rows; extra columns
     are ignored. There is no shuffle: each document is judged by its own characters.
     """
-    foreign = spread(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text")).where(F.col("text").rlike(r"[^\x00-\x7F]")))
+    foreign = spread(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text")).where(F.col("text").rlike(r"[^\x00-\x7F]|" + REFERENCE)))
     return foreign.mapInArrow(_run, f"doc_id {dict(foreign.dtypes)['doc_id']}, restored string, ways array<string>")
