@@ -88,6 +88,30 @@ def test_consistent_table(spark):
 def test_what_types_hold(spark):
     cases = [("5", "tinyint", True), ("128", "tinyint", False), ("255", "tinyintunsigned", True), ("-1", "intunsigned", False), ("6401.0", "int", True), ("1.5", "int", False),
              ("18446744073709551615", "bigintunsigned", True), ("18446744073709551616", "bigintunsigned", False), ("x", "double", False), ("1e5", "double", True), ("2024-02-30", "date", False),
-             ("2024-02-29 10:00:00", "datetime(3)", True), ("LOW", "enum('low','mid')", True), ("no", "enum('low','mid')", False), ("abc", "varchar(2)", False), ("abc", "text", True), (None, "int", True), ("x", "", True)]
+             ("2024-02-29 10:00:00", "datetime(3)", True), ("LOW", "enum('low','mid')", True), ("no", "enum('low','mid')", False), ("abc", "varchar(2)", False), ("abc", "text", True), (None, "int", True), ("x", "", True),
+             ("xyz", "year", False), ("1901", "year", True), ("1900", "year", False), ("99", "year(4)", True), ("zz", "json", False), ('{"a":[1]}', "json", True), ("12:99:99", "time", False),
+             ("-838:59:59", "time", True), ("839:00:00", "time", False), ("08:30:00.5", "time(1)", True), ("123456789.99", "decimal(5,2)", False), ("123.45", "decimal(5,2)", True), ("1.234", "decimal(5,2)", False),
+             ("1.230", "decimal(5,2)", True), ("-0.5", "decimal(5,2)unsigned", False), ("1e2", "decimal(5,2)", True), ("10.5", "decimal", False), ("12345678901234567890.5", "decimal(30,10)", True),
+             ("a b", "enum('a b','c')", True), ("ab", "enum('a b','c')", False), ("it's", "enum('it''s')", True), ("a,c", "set('a','b','c')", True), ("a,x", "set('a','b','c')", False), ("", "set('a')", True),
+             ("0101", "bit(4)", True), ("01012", "bit(8)", False), ("11", "bit", False), ("é", "binary(1)", False), ("é", "char(1)", True), ("0000-00-00 00:00:00", "datetime", False), ("2024", "date", False),
+             ("nan", "double", False), ("x" * 256, "tinytext", False), ("True", "bool", True), ("2", "boolean", False), ("interesting", "interval", True), ("1.50", "doubleprecision", True),
+             ("550e8400-e29b-41d4-a716-446655440000", "uuid", True), ("550e", "uuid", False)]
     df = spark.createDataFrame([(v, k) for v, k, _ in cases], "v string, k string").coalesce(1)
     assert [r.h for r in df.select(drift.holds(F.col("v"), F.col("k")).alias("h")).collect()] == [w for *_, w in cases]
+
+
+def test_typed_columns(spark):
+    fields = {"id": "int", "a": "BIGINT UNSIGNED", "d": "decimal(10, 3)", "f": "double", "t": "datetime(3)", "e": "ENUM('x y', 'z')"}
+    rows = [{"id": 1, "a": "18446744073709551615", "d": "1.50", "f": 2, "t": "2024-01-02 03:04:05.678", "e": "X y"}, {"id": 2, "a": -1, "d": 1.2345, "f": "no", "t": "0000-00-00", "e": "xy"}]
+    s, r = data(spark, [({**fields, "d": "double"}, ["id"], rows[:1]), (fields, ["id"], rows)])
+    whole = drift.consistent_table(s, r)
+    out = {(x.file_no, x.id): x for x in whole.collect()}
+    for n in (1, 2):  # the earlier file's rows too, under the types of the last
+        x = out[(n, "1")]
+        assert x.whole == {"id": 1, "a": 18446744073709551615} and {k: str(v) for k, v in x.number.items()} == {"d": "1.5000000000"} and x.approx == {"f": 2.0}
+        assert x["at"] == {"t": datetime.datetime(2024, 1, 2, 3, 4, 5, 678000)} and x.text == {"e": "X y"} and x.rescued is None
+    bad = out[(2, "2")]
+    assert bad.whole == {"id": 2} and not (bad.number or bad.approx or bad["at"] or bad.text)
+    assert json.loads(bad.rescued) == {"a": "-1", "d": "1.2345", "f": "no", "t": "0000-00-00", "e": "xy"}
+    typed = drift.wide(whole, "d", "t", list(fields.items()))
+    assert dict(typed.dtypes)["a"] == "decimal(20,0)" and dict(typed.dtypes)["t"] == "timestamp_ntz" and {str(x.d) for x in typed.collect()} == {"1.500", "None"}

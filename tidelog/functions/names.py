@@ -16,6 +16,11 @@ def plain_type(c: Column | str) -> Column:
     return F.regexp_replace(F.lower(_col(c)), r"\s+", "")
 
 
+def type_shape(c: Column | str) -> Column:
+    """A column type in lower case without blanks, but for those inside its quoted labels. Null stays null."""
+    return F.regexp_replace(F.lower(_col(c)), r"('(?:[^'\\]|\\.|'')*')|\s+", "$1")
+
+
 def file_number(c: Column | str) -> Column:
     """The integer that ends a log file name: './binlog.000123' gives 123; null where there is none."""
     digits = F.regexp_extract(F.btrim(_col(c)), r"([0-9]+)$", 1)

@@ -71,9 +71,16 @@ def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p4_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All records under the last schema of their table; typed holds the fields that have a value, as JSON."""
-    whole = drift.consistent_table(table(spark, sf_dir, "table_structures"), table(spark, sf_dir, "file_rows"))
-    return whole.select("db_name", "table_name", "file_no", "line_no", "id", F.to_json("typed").alias("typed"), "rescued")
+    """Every value of every record in the typed column of its field in the last schema of its table, or as rescued text
+    under the name in its file."""
+    w = drift.consistent_table(table(spark, sf_dir, "table_structures"), table(spark, sf_dir, "file_rows"))
+    families = ("whole", "number", "approx", "at", "text")
+    names = F.map_keys(F.map_filter("typed", lambda _, v: v.isNotNull()))
+    typed = F.transform(names, lambda n: F.struct(n.alias("field_name"), *[F.try_element_at(f, n).alias(f) for f in families], F.lit(None).cast("string").alias("rescued")))
+    held = F.coalesce(F.from_json("rescued", "map<string,string>"), F.expr("map()").cast("map<string,string>"))
+    kinds = {"whole": "decimal(38,0)", "number": "decimal(38,10)", "approx": "double", "at": "timestamp_ntz", "text": "string"}
+    lost = F.transform(F.map_entries(held), lambda e: F.struct(e["key"].alias("field_name"), *[F.lit(None).cast(k).alias(f) for f, k in kinds.items()], e["value"].alias("rescued")))
+    return w.select("db_name", "table_name", "file_no", "line_no", F.explode(F.concat(typed, lost)).alias("v")).select("db_name", "table_name", "file_no", "line_no", "v.*")
 
 
 def _compared(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -214,8 +221,40 @@ every AS (
     UNION ALL SELECT db, tbl, file_no, 'key_changed', array_to_string(pk, ',') FROM pk WHERE pk <> was)
 SELECT db AS db_name, tbl AS table_name, file_no, change_kind, name AS field_name FROM every"""
 
+_WHOLE = "TRY_CAST(val AS DECIMAL(38, 10))"
+_P4_TABLE = _P4[: _P4.index("pk AS (SELECT n.db")] + f"""
+lastly AS (SELECT db, tbl, max(file_no) AS file_no FROM files GROUP BY ALL),
+shapes AS (SELECT DISTINCT db, tbl, {_plain("x.field_name")} AS name, lower(x.field_type) AS shape
+    FROM (SELECT db, tbl, unnest(table_fields) AS x FROM s JOIN lastly USING (db, tbl, file_no))),
+carried AS (
+    SELECT db, tbl, file_no AS start, file_no, name AS first_name, name FROM f
+    UNION ALL SELECT c.db, c.tbl, c.start, c.file_no + 1, c.first_name, coalesce(m.name, c.name) FROM carried c JOIN lastly l ON l.db = c.db AND l.tbl = c.tbl AND c.file_no < l.file_no
+        LEFT JOIN moved m ON m.db = c.db AND m.tbl = c.tbl AND m.file_no = c.file_no + 1 AND m.old_name = c.name),
+ends AS (SELECT c.db, c.tbl, c.start AS file_no, c.first_name AS name, c.name AS final_name, regexp_replace(shape, '\\s+', '', 'g') AS shape
+    FROM carried c JOIN lastly l ON l.db = c.db AND l.tbl = c.tbl AND l.file_no = c.file_no JOIN shapes ON shapes.db = c.db AND shapes.tbl = c.tbl AND shapes.name = c.name),
+judged_values AS (SELECT DISTINCT v.db, v.tbl, v.file_no, v.line_no, v.name, v.val, final_name, shape,
+    CASE regexp_extract(shape, '^[a-z]+') WHEN 'int' THEN 'whole' WHEN 'bigint' THEN 'whole' WHEN 'smallintunsigned' THEN 'whole' WHEN 'decimal' THEN 'number' WHEN 'double' THEN 'approx'
+        WHEN 'date' THEN 'at' WHEN 'datetime' THEN 'at' ELSE 'text' END AS family,
+    CASE WHEN shape = 'int' THEN {_WHOLE} = floor({_WHOLE}) AND {_WHOLE} BETWEEN -2147483648 AND 2147483647
+        WHEN shape = 'bigint' THEN {_WHOLE} = floor({_WHOLE}) AND {_WHOLE} BETWEEN -9223372036854775808 AND 9223372036854775807
+        WHEN shape = 'smallintunsigned' THEN {_WHOLE} = floor({_WHOLE}) AND {_WHOLE} BETWEEN 0 AND 65535
+        WHEN shape LIKE 'decimal%' THEN regexp_matches(val, '^[+-]?0*[0-9]{{0,' || CASE shape WHEN 'decimal(20,10)' THEN '10' ELSE '6' END || '}}([.][0-9]{{0,' || CASE shape WHEN 'decimal(20,10)' THEN '10' ELSE '4' END || '}}0*)?$')
+        WHEN shape = 'double' THEN TRY_CAST(val AS DOUBLE) IS NOT NULL
+        WHEN shape = 'date' THEN regexp_matches(val, '^[0-9]{{4}}-[0-9]+-[0-9]+$') AND TRY_CAST(val AS DATE) IS NOT NULL
+        WHEN shape LIKE 'datetime%' THEN TRY_CAST(val AS TIMESTAMP) IS NOT NULL
+        WHEN shape LIKE 'enum%' THEN list_contains(string_split(trim(shape, 'enum()'), ','), chr(39) || lower(val) || chr(39))
+        WHEN shape LIKE 'varchar%' THEN length(val) <= CAST(regexp_extract(shape, '[0-9]+') AS INTEGER) ELSE TRUE END AS fits
+    FROM v LEFT JOIN ends USING (db, tbl, file_no, name) WHERE val IS NOT NULL)
+SELECT db AS db_name, tbl AS table_name, file_no, line_no, CASE WHEN fits AND shape IS NOT NULL THEN final_name ELSE name END AS field_name,
+    CASE WHEN fits AND family = 'whole' THEN CAST({_WHOLE} AS DECIMAL(38, 0)) END AS whole, CASE WHEN fits AND family = 'number' THEN {_WHOLE} END AS number,
+    CASE WHEN fits AND family = 'approx' THEN CAST(val AS DOUBLE) END AS approx, CASE WHEN fits AND family = 'at' THEN CAST(val AS TIMESTAMP) END AS at,
+    CASE WHEN fits AND family = 'text' AND shape IS NOT NULL THEN val END AS text, CASE WHEN fits AND shape IS NOT NULL THEN NULL ELSE val END AS rescued
+FROM judged_values"""
+_P4_TABLE = _P4_TABLE.replace("WITH s AS", "WITH RECURSIVE s AS", 1)
+
 ORACLE = {
     "p4_found": _P4,
+    "p4_table": _P4_TABLE,
     "p1_found": _P1.format(""),
     "p1_current_rows": _P1.format(_PAYLOAD),
     "p1_batches": _P1.format(_PAYLOAD),
