@@ -167,3 +167,130 @@ def test_queue_stream(spark, tmp_path):
     assert run() == 4
     queue.append_events(root, "d", events(3, 50))
     assert run() == 7 and run() == 7
+
+
+def _gtid(w, n, previous=False):
+    sid = bytes(range(16))
+    if previous:
+        return w.event(35, struct.pack("<Q", 1) + sid + struct.pack("<QQQ", 1, 1, n))
+    return w.event(33, b"\0" + sid + struct.pack("<Q", n))
+
+
+def _row(w, number, n):
+    w.table(number, "shop", "t", [(binlog.LONG, b"")], ["id"])
+    w.rows(30, number, 1, [image([struct.pack("<i", n)])])
+    return w.event(16, struct.pack("<Q", n), stamp=1_700_000_000 + n)
+
+
+def three_files(folder):
+    """Transactions 1 to 6, two a file."""
+    os.makedirs(folder, exist_ok=True)
+    ends = []
+    for k in range(3):
+        w = Writer()
+        if k:
+            _gtid(w, 2 * k + 1, previous=True)
+        for n in (2 * k + 1, 2 * k + 2):
+            _gtid(w, n)
+            ends.append((k + 1, _row(w, 5, n)))
+        with open(f"{folder}/bin.{k + 1:06d}", "wb") as f:
+            f.write(w.data)
+    return ends
+
+
+SID = "00010203-0405-0607-0809-0a0b0c0d0e0f"
+
+
+def ids(df):
+    return [json.loads(r.after)["id"] for r in df.where("op = 'U'").orderBy("file_no", "log_pos").collect()]
+
+
+def test_binlog_bounds(spark, tmp_path):
+    ends = three_files(tmp_path / "log")
+    spark.dataSource.register(binlog.BinlogSource)
+    read = lambda **o: ids(spark.read.format("tidelog_binlog").options(path=f"file://{tmp_path}/log", **o).load())
+    assert read() == [1, 2, 3, 4, 5, 6]
+    assert read(startFile=ends[0][0], startPos=ends[0][1]) == [2, 3, 4, 5, 6]
+    assert read(endFile=ends[2][0], endPos=ends[2][1]) == [1, 2, 3] and read(endFile=2) == [1, 2, 3, 4]
+    assert read(startGtid=f"{SID}:1-3") == [4, 5, 6] and read(startGtid=f"{SID}:2:5") == [1, 3, 4, 6] and read(startGtid=f"{SID}:1-9") == []
+    assert read(ignoreDatabases="shop") == [] and read(ignoreTables="x, t") == [] and read(ignoreTables="x") == [1, 2, 3, 4, 5, 6]
+    assert read(endTime="2023-11-14T22:13:24") == [1, 2, 3, 4, 5]  # the commit of 4 is of that time and ends file 2, that of 5 file 3
+
+
+def test_binlog_stream_follows_a_growing_file(spark, tmp_path):
+    folder = tmp_path / "log"
+    three_files(folder)
+    spark.dataSource.register(binlog.BinlogSource)
+    whole = (folder / "bin.000003").read_bytes()
+    (folder / "bin.000003").write_bytes(whole[:-20])  # the last event is still being written
+    out, cp = str(tmp_path / "out"), str(tmp_path / "cp")
+
+    def run():
+        stream = spark.readStream.format("tidelog_binlog").option("path", str(folder)).option("maxFilesPerTrigger", 1).option("checkpoint", cp).load()
+        stream.writeStream.format("parquet").option("checkpointLocation", cp).trigger(availableNow=True).start(out).awaitTermination()
+        return spark.read.parquet(out)
+
+    first = run()
+    events = first.count()
+    assert set(ids(first)) <= {1, 2, 3, 4, 5, 6}
+    (folder / "bin.000003").write_bytes(whole)
+    again = run()
+    while again.count() > events:
+        events, again = again.count(), run()
+    assert ids(again) == [1, 2, 3, 4, 5, 6] and again.where("event = 'xid'").count() == 6
+    assert again.groupBy("file_no", "log_pos", "row_no").count().where("count > 1").count() == 0
+
+
+def test_rows_without_their_map_raise():
+    w = Writer()
+    w.rows(30, 77, 1, [image([b"\1"])])
+    with pytest.raises(ValueError, match="table 77"):
+        list(binlog.decode(w.data, 1))
+
+
+def test_table_map_metadata():
+    w = Writer()
+    extra = b"\2\5\x08\1\xfc\x33\0" + b"\7\1\3" + b"\x08\1\0" + b"\x0c\1\xa0"  # latin1, but cp1251 for the second text; a polygon; key; visibility
+    w.table(4, "d", "m", [(binlog.VARCHAR, struct.pack("<H", 40)), (binlog.VARCHAR, struct.pack("<H", 40)), (binlog.GEOMETRY, b"\2")], ["a", "b", "g"], extra)
+    w.rows(30, 4, 3, [image([b"\1\xe9", b"\1\xe6", struct.pack("<H", 1) + b"x"])])
+    number, t = binlog.table_map(binlog.Cursor(w.data[w.data.index(b"\4\0\0\0\0\0\1\0\1d") : w.data.index(extra) + len(extra)] + b"\0"))
+    assert [c.collation for c in t.columns[:2]] == [8, 51] and t.columns[2].geometry == 3 and t.key == [(0, 0)] and [c.visible for c in t.columns] == [True, False, True]
+    got = json.loads(list(binlog.decode(w.data, 1))[-1][11])
+    assert got["a"] == "é" and got["b"] == "ж"
+
+
+def test_other_events():
+    w = Writer()
+    w.event(5, b"\2" + struct.pack("<Q", 7))
+    w.event(13, struct.pack("<QQ", 3, 4))
+    w.event(14, struct.pack("<I", 1) + b"v" + b"\0\2" + struct.pack("<II", 63, 8) + struct.pack("<q", -5) + b"\0")
+    w.event(14, struct.pack("<I", 1) + b"t" + b"\0\0" + struct.pack("<II", 8, 1) + b"\xe9")
+    w.event(162, struct.pack("<QI", 9, 1) + b"\0" * 6)
+    w.event(163, struct.pack("<IIIQIIQ", 2, 0, 1, 5, 1, 2, 6))
+    w.event(161, struct.pack("<I", 10) + b"bin.000004")
+    w.event(17, struct.pack("<I", 3) + b"abcd")
+    texts = [r[9] for r in binlog.decode(w.data, 1)][1:]
+    assert texts == ["INSERT_ID=7", "RAND_SEED1=3,RAND_SEED2=4", "@v=-5", '@t="é"', "1-7-9", "0-1-5,1-2-6", "bin.000004", "file 3, 4 bytes"]
+
+
+def test_queue_written_by_spark(spark, tmp_path):
+    spark.dataSource.register(queue.QueueSource)
+    root = f"file://{tmp_path}/q"
+    rows = [(f"d{i % 2}", (f"bin.{1 + i // 50:06d}", i), 1 + i % 2, "t", json.dumps([[i]])) for i in range(120)] + [(None, None, 0, None, None)]
+    df = spark.createDataFrame(rows, "db_name string, transaction_id struct<file_name:string,log_pos:bigint>, event_type int, table_name string, records string")
+    df.coalesce(1).write.format("tidelog_queue").option("path", root).option("rowsPerFile", 25).mode("append").save()
+    read = lambda **o: spark.read.format("tidelog_queue").options(path=root, **o).load()
+    assert queue.numbers(f"{root}/d0") == [1, 2, 3] and read().count() == 121 and read().where("db_name = '_'").count() == 1
+    assert [r.p for r in read().where("db_name = 'd1'").orderBy("file_num", "line_no").selectExpr("transaction_id.log_pos AS p").collect()] == list(range(1, 120, 2))
+    assert queue.last_transaction(root, "d0") == (3, 118) and queue.last_transaction(root, "none") is None
+    assert [queue.file_of(root, "d0", p) for p in ((0, 0), (1, 0), (1, 49), (2, 51), (9, 9))] == [0, 1, 1, 2, 3]
+    assert sorted(r.p for r in read(afterFile=2, afterPos=98).where("db_name = 'd0'").selectExpr("transaction_id.log_pos AS p").collect()) == list(range(100, 120, 2))
+    with pytest.raises(Exception, match="only appended"):
+        df.write.format("tidelog_queue").option("path", root).mode("overwrite").save()
+    out, cp = str(tmp_path / "out"), str(tmp_path / "cp")
+    stream = spark.readStream.format("tidelog_queue").option("path", root).option("maxFilesPerTrigger", 1).option("checkpoint", cp).load()
+    query = stream.writeStream.format("parquet").option("checkpointLocation", cp).trigger(processingTime="0 seconds").start(out)
+    query.processAllAvailable()
+    sizes = [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]]
+    query.stop()
+    assert sum(sizes) == 121 and max(sizes) <= 51
