@@ -16,6 +16,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -79,29 +80,32 @@ def _newest(key: np.ndarray, version: np.ndarray, h: np.ndarray) -> tuple[np.nda
     return key[keep], version[keep], h[keep], tied[group[keep]]
 
 
-_HASHES = "key long, version long, hash long, g long"
+_HASHES = "g long, keys array<long>, versions array<long>, hashes array<long>"
 
 
 def _sender(buckets: int, group: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """What an input task sends: a hash per key, however many rows and versions of it the task meets."""
+    """What an input task sends: a hash per key, however many rows and versions of it the task meets, in a row per group of
+    buckets."""
 
-    def out(held: list[pa.RecordBatch]) -> pa.RecordBatch:
-        whole = pa.Table.from_batches(held)
-        key, version, h, _ = _newest(*[whole[c].to_numpy() for c in ("key", "version", "hash")])
-        return pa.record_batch([pa.array(x) for x in (key, version, h, np.mod(key, buckets) // group)], ["key", "version", "hash", "g"])
+    def packed(key: np.ndarray, version: np.ndarray, h: np.ndarray) -> pa.RecordBatch:
+        g = np.mod(key, buckets) // group
+        order = np.argsort(g, kind="stable")
+        numbers, count = np.unique(g, return_counts=True)
+        ends = np.cumsum(count)
+        return pa.record_batch([pa.array(numbers, pa.int64()), *[_lists(x[order], ends) for x in (key, version, h)]], ["g", "keys", "versions", "hashes"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
+        held: list[tuple[np.ndarray, ...]] = []
         for batch in batches:
-            held.append(batch)
-            if sum(x.num_rows for x in held) >= HELD:
-                part = out(held)
-                held = [part.select(["key", "version", "hash"])]
-                if part.num_rows > HELD // 2:
-                    yield part
+            held.append(tuple(batch.column(c).to_numpy() for c in ("key", "version", "hash")))
+            if sum(len(x[0]) for x in held) >= HELD:
+                part = _newest(*map(np.concatenate, zip(*held, strict=True)))[:3]
+                held = [part]
+                if len(part[0]) > HELD // 2:
+                    yield packed(*part)
                     held = []
         if held:
-            yield out(held)
+            yield packed(*_newest(*map(np.concatenate, zip(*held, strict=True)))[:3])
 
     return run
 
@@ -128,7 +132,7 @@ def _sketcher(points: int, buckets: int) -> Callable[[pa.Table], pa.Table]:
     tied, whose hashes aren't among them."""
 
     def run(table: pa.Table) -> pa.Table:
-        key, _, h, tied = _newest(*[table[c].to_numpy() for c in ("key", "version", "hash")])
+        key, _, h, tied = _newest(*[pc.list_flatten(table[c]).to_numpy() for c in ("keys", "versions", "hashes")])
         bucket = np.mod(key, buckets)
         numbers = np.unique(bucket)
         order = np.argsort(bucket, kind="stable")
