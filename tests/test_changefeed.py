@@ -97,6 +97,17 @@ def test_one_key_with_most_changes(spark):
     assert got[("d", "u", "1")] == (1, 2999) and len(got) == 6
 
 
+def test_batches_with_and_without_repeats(spark):
+    log = [event(i, i, 1, "u", [[i % 3 if 100 <= i < 200 else i, str(i)]]) for i in range(300)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "60")
+    try:
+        feed = cf.changes(spark.createDataFrame(log, LOG).coalesce(1), layouts(spark))
+        state = cf.live(cf.apply_changes(feed, shared_dir(spark, "mixed"), 3))
+        assert {(r.db_name, r.table_name, r.record_key): (r.file_no, r.log_pos) for r in state.collect()} == fold(log)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def test_last_row_of_an_event_wins_and_payload(spark):
     log = [event(1, 1, 1, "u", [[1, "a"], [1, "b"]])]
     feed = cf.changes(spark.createDataFrame(log, LOG), layouts(spark), payload=True)

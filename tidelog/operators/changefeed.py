@@ -18,6 +18,7 @@ from collections.abc import Iterator
 from typing import Any
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,8 +31,8 @@ WRITE, DELETE, TRUNCATE = 1, 2, 3
 STATE = "db_name string, table_name string, record_key string, file_no bigint, log_pos bigint, row_no int, kind tinyint, payload string"
 #: Rows and bytes of payload that one bucket is sized for, and that a task holds before it passes its part on.
 BUCKET_ROWS, BUCKET_BYTES = 200_000, 64 << 20
-#: Changes of one statement.
-CHUNK_ROWS = 2_000
+#: Changes of one statement, and how often a key may stand in a batch (10,000 rows by Spark's default) that isn't reduced.
+CHUNK_ROWS, REPEATS = 2_000, 16
 
 _ARROW = pa.schema(
     [
@@ -101,10 +102,20 @@ class _Bucket:
         return pa.concat_tables(self.held).take(slots) if self.held else _ARROW.empty_table()
 
 
+def _repeats(batch: pa.RecordBatch) -> bool:
+    """Whether the batch holds a key so often, or so many keys twice, that bringing it to one row per key pays."""
+    counts = pc.value_counts(pc.binary_join_element_wise(batch["db_name"], batch["table_name"], batch["record_key"], "\0"))
+    return 2 * len(counts) < batch.num_rows or (pc.max(counts.field("counts")).as_py() or 0) > REPEATS
+
+
 def _combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The upsert inside an input task: one row per key goes on, or a few where a task holds more than a bucket's rows."""
+    """The upsert inside an input task: of batches with repeated keys one row per key goes on, or a few where a task holds
+    more than a bucket's rows. Batches without pass as they are: a key sends at most REPEATS rows in each of them."""
     bucket: _Bucket | None = None
     for batch in batches:
+        if not _repeats(batch):
+            yield pa.RecordBatch.from_arrays(batch.columns, schema=_ARROW)  # one schema for what passes and what is exported
+            continue
         bucket = bucket or _Bucket()
         bucket.upsert(pa.Table.from_batches([batch]))
         if bucket.rows >= BUCKET_ROWS or bucket.bytes >= BUCKET_BYTES:
