@@ -158,5 +158,5 @@ def test_database_of_statements_with_comments(spark):
     said = ["/* a.b */ CREATE TABLE `Shop`.t (id int)", "ALTER -- x.y\n TABLE shop.t ADD c int", "CREATE TABLE t (id int) /* c.d */", "ALTER TABLE shop.t ADD c int"]
     rows = [(i, 3, text) for i, text in enumerate(said)] + [(9, 1, "/* no statement */")]
     spark.createDataFrame(rows, "delivery_no bigint, event_type int, records string").write.parquet(f"{root}/log_events.parquet")
-    got = {r.delivery_no: r.db for r in entry.queries()["db_name_from_ddl_all"](spark, root).collect()}
+    got = {r.delivery_no: r.db for r in entry.queries()["db_name_from_ddl"](spark, root).collect()}
     assert got == {0: "shop", 1: "shop", 2: "", 3: "shop"}

@@ -228,8 +228,8 @@ def test_every_position_is_looked_up(spark):
     root = shared_dir(spark, "events")
     rows = [(i % 7, i, "view", 1.0, "{}") for i in range(5, 9000, 4)]
     spark.createDataFrame(rows, "user_id bigint, event_id bigint, event_type string, value double, props string").write.parquet(f"{root}/events.parquet")
-    got = {r.pos: r.file_no for r in entry.queries()["asof_file_lookup_all"](spark, root).collect()}
+    got = {r.pos: r.file_no for r in entry.queries()["asof_file_lookup"](spark, root).collect()}
     assert got == {i: i // 1000 for i in range(5, 9000, 4)}
     low, high = 5, 8997
-    middle = {r.event_id for r in entry.queries()["bounded_replay_middle"](spark, root).collect()}
+    middle = {r.event_id for r in entry.queries()["bounded_replay"](spark, root).collect()}
     assert middle == {i for i in range(5, 9000, 4) if low + 2248 < i < high - 2248}

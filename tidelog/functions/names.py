@@ -27,5 +27,10 @@ def file_number(c: Column | str) -> Column:
     return F.when(digits != "", digits).try_cast("bigint")
 
 
+def state_name(*parts: Column | str) -> Column:
+    """A name of fixed length for what belongs to a database and table: SHA-256 of the parts joined by a dot."""
+    return F.sha2(F.concat_ws(".", *[_col(p) for p in parts]), 256)
+
+
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c

@@ -40,7 +40,7 @@ def lag_report(newest_file: str, appliers: DataFrame) -> DataFrame:
 
 
 def reader_positions(states: DataFrame) -> DataFrame:
-    """Per source the last saved position, the one before, and the number of states, from replicator_state.
+    """Per source the last saved position and the number of states, from replicator_state; position_history() has those before.
 
     Positions are compared as numbers: file number, then offset. States saved twice count once.
     """
@@ -51,6 +51,47 @@ def reader_positions(states: DataFrame) -> DataFrame:
     )
 
 
+def position_history(states: DataFrame) -> DataFrame:
+    """Each saved position (source_id, state_no, file_no, log_pos) with the one its source saved before (before_file,
+    before_pos), null at the first. States in the order of their time, then number; those without position are left out."""
+    at = "last_seen_transaction"
+    rows = states.where(F.col(at).isNotNull()).select("source_id", "saved_at", "state_no", file_number(f"{at}.file_name").alias("file_no"), F.col(f"{at}.log_pos").alias("log_pos"))
+    order = ["saved_at", "state_no"]
+    here = F.struct("file_no", "log_pos")
+    both = running(laid_out(rows, ["source_id"], order), ["source_id"], order, "_before", here, "last", inclusive=False)
+    return both.select("source_id", "state_no", "file_no", "log_pos", F.col("_before.file_no").alias("before_file"), F.col("_before.log_pos").alias("before_pos"))
+
+
+def per_period(df: DataFrame, at: str, op: str, size: str) -> DataFrame:
+    """Events per op and period (period, op, events) with the op's total up to then; periods without events have no row.
+
+    Counted first, so that what is put in order is a row per op and period.
+    """
+    counts = df.groupBy(F.window(at, size)["start"].alias("period"), F.col(op).alias("op")).agg(F.count(F.lit(1)).alias("events"))
+    return running(laid_out(counts, ["op"], ["period"]), ["op"], ["period"], "total", F.col("events"), "sum").drop("_part")
+
+
+def last_per_file(log: DataFrame) -> DataFrame:
+    """The last position seen in each log file of a source, and how many deliveries name the file; others are left out."""
+    placed = log.select("source_id", file_number("transaction_id.file_name").alias("file_no"), F.col("transaction_id.log_pos").alias("log_pos"))
+    return placed.where("file_no IS NOT NULL").groupBy("source_id", "file_no").agg(F.max("log_pos").alias("last_pos"), F.count(F.lit(1)).alias("events"))
+
+
+def structure_differences(structures: DataFrame) -> DataFrame:
+    """(db_name, table_name, file_no, pos, before, after): places of a file's columns whose name isn't that of the file before.
+
+    structures: db_name, table_name, file_no, fields (an array with names), a row per file. A column on one side only is null
+    on the other; files whose neighbour before is missing are compared with nothing.
+    """
+    key = ["db_name", "table_name", "file_no"]
+    listed = structures.select(*key, F.transform("fields", lambda f: f["name"]).alias("names"))
+    before = listed.select("db_name", "table_name", (F.col("file_no") + 1).alias("file_no"), F.col("names").alias("was"))
+    places = F.sequence(F.lit(1), F.greatest(F.size("names"), F.size("was")))
+    pairs = listed.join(before, key).where(F.greatest(F.size("names"), F.size("was")) > 0).select(*key, "names", "was", F.explode(places).alias("pos"))
+    out = pairs.select(*key, "pos", F.get("was", F.col("pos") - 1).alias("before"), F.get("names", F.col("pos") - 1).alias("after"))
+    return out.where(~F.col("before").eqNullSafe(F.col("after")))
+
+
 def missing_and_extra(wanted: DataFrame, had: DataFrame, name: str) -> DataFrame:
     """Names on one side only: (name, change) with change 'start' where had lacks it and 'stop' where wanted does."""
     start, stop = wanted.select(name).distinct().exceptAll(had.select(name).distinct()), had.select(name).distinct().exceptAll(wanted.select(name).distinct())

@@ -27,16 +27,22 @@ _NEWEST = "SELECT * FROM {src} QUALIFY row_number() OVER (PARTITION BY user_id O
 _CURRENT = f"SELECT {_EVENT} FROM ({_NEWEST.format(src='events')}) WHERE event_type <> 'error'"
 
 
-def query(sql: str | None = None):  # noqa: ANN201
-    """Registers a function under its name, with the SQL that gives the same rows."""
+def registrar(queries: dict, oracle: dict):  # noqa: ANN201
+    """A decorator that registers a function under its name, with the SQL that gives the same rows."""
 
-    def add(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLE[f.__name__] = sql
-        return f
+    def query(sql: str | None = None):  # noqa: ANN202
+        def add(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+            queries[f.__name__] = f
+            if sql:
+                oracle[f.__name__] = sql
+            return f
 
-    return add
+        return add
+
+    return query
+
+
+query = registrar(QUERIES, ORACLE)
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -128,15 +134,10 @@ def operation_filter(spark, d):
     return _events(spark, d).select("event_id", op.alias("op")).where(F.col("op").isin("U", "D"))
 
 
-@query("SELECT event_id FROM events WHERE event_id > 500 AND event_id < 900")
-def bounded_replay(spark, d):
-    return _events(spark, d).where("event_id > 500 AND event_id < 900").select("event_id")
-
-
 @query("""SELECT event_id FROM events, (SELECT min(event_id) AS low, max(event_id) AS high FROM events)
 WHERE event_id > low + (high - low) // 4 AND event_id < high - (high - low) // 4""")
-def bounded_replay_middle(spark, d):
-    """The middle half of the log, whatever its length; bounded_replay takes fixed positions."""
+def bounded_replay(spark, d):
+    """The log between two positions: its middle half, whatever its length."""
     e = _events(spark, d).select("event_id")
     low, high = e.agg(F.min("event_id"), F.max("event_id")).first()
     quarter = ((high or 0) - (low or 0)) // 4
@@ -274,7 +275,13 @@ def snapshot_last_key(spark, d):
     return snapshot.last_key(table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
-@query()
+#: CRC-32 by its definition: a table of 256 remainders, then a step per byte.
+_CRC = """(WITH t AS (SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS tab),
+b AS (SELECT list_transform(string_split(o_orderkey || '|' || o_custkey, ''), lambda x: CAST(ascii(x) AS BIGINT)) AS bytes FROM orders)
+SELECT xor(list_reduce(list_prepend(4294967295, bytes), lambda c, x: xor(c >> 8, tab[(xor(c, x) & 255) + 1])), 4294967295) AS crc FROM b, t)"""
+
+
+@query(f"SELECT CAST(crc % 8 AS INTEGER) AS shard, count(*) AS n FROM {_CRC} GROUP BY ALL")
 def crc32_shards(spark, d):
     shard = snapshot.shard(["o_orderkey", "o_custkey"], 8).cast("int").alias("shard")
     return table(spark, d, "orders").groupBy(shard).agg(F.count(F.lit(1)).alias("n"))
@@ -588,18 +595,10 @@ def gtid_text(spark, d):
     return spans.groupBy("sid").agg(F.array_join(F.transform(listed, lambda x: x["t"]), ":").alias("txt"))
 
 
-@query("""WITH f AS (SELECT event_id // 1000 AS file_no, min(event_id) AS first_pos FROM events GROUP BY 1)
-SELECT w.event_id AS pos, max(f.file_no) AS file_no FROM (SELECT event_id FROM events WHERE event_id % 37 = 0) w LEFT JOIN f ON f.first_pos <= w.event_id GROUP BY 1""")
-def asof_file_lookup(spark, d):
-    e = _events(spark, d)
-    files = e.groupBy(F.expr("event_id div 1000").alias("file_no")).agg(F.min("event_id").alias("first_pos"))
-    return monitor.as_of_file(files, e.where("event_id % 37 = 0").select(F.col("event_id").alias("pos")))
-
-
 @query("""WITH f AS (SELECT event_id // 1000 AS file_no, min(event_id) AS first_pos FROM events GROUP BY 1)
 SELECT w.event_id AS pos, f.file_no FROM events w ASOF LEFT JOIN f ON w.event_id >= f.first_pos""")
-def asof_file_lookup_all(spark, d):
-    """The file of every position; asof_file_lookup takes one in 37."""
+def asof_file_lookup(spark, d):
+    """The file of every position."""
     e = _events(spark, d)
     files = e.groupBy(F.expr("event_id div 1000").alias("file_no")).agg(F.min("event_id").alias("first_pos"))
     return monitor.as_of_file(files, e.select(F.col("event_id").alias("pos")))
@@ -638,21 +637,12 @@ def event_rates(spark, d):
 # --- schemas ------------------------------------------------------------------------------------------------------
 
 
-@query("""SELECT delivery_no, CASE WHEN regexp_matches(records, '^(CREATE|ALTER) TABLE') THEN trim(regexp_extract(records, '(TABLE|EXISTS) `([a-z_0-9]+)`\\.', 2)) ELSE '' END AS db
-FROM log_events WHERE event_type = 3 AND NOT regexp_matches(records, '/\\*|--')""")
-def db_name_from_ddl(spark, d):
-    text = sqltext.without_comments(F.col("records"))
-    shape = rf"(?is)^\s*(?:create|alter)\s+table\s+(?:if\s+not\s+exists\s+)?{sqltext.NAME}\s*\.\s*{sqltext.NAME}"
-    rows = table(spark, d, "log_events").where("event_type = 3").where(~F.col("records").rlike(r"/\*|--"))
-    return rows.select("delivery_no", names.plain_name(F.regexp_extract(text, shape, 1)).alias("db"))
-
-
 @query(r"""SELECT delivery_no, lower(regexp_extract(
     regexp_replace(regexp_replace(regexp_replace(records, '/\*.*?\*/', ' ', 'gs'), '--[^\n]*', ' ', 'g'), '#[^\n]*', ' ', 'g'),
     '^\s*(create|alter)\s+table\s+(if\s+not\s+exists\s+)?`?([^`\s.;,]+)`?\s*\.', 3, 'is')) AS db
 FROM log_events WHERE event_type = 3""")
-def db_name_from_ddl_all(spark, d):
-    """The database that each statement names, those with comments too; db_name_from_ddl leaves these out."""
+def db_name_from_ddl(spark, d):
+    """The database that each statement names, those with comments too."""
     text = sqltext.without_comments(F.col("records"))
     shape = rf"(?is)^\s*(?:create|alter)\s+table\s+(?:if\s+not\s+exists\s+)?{sqltext.NAME}\s*\.\s*{sqltext.NAME}"
     rows = table(spark, d, "log_events").where("event_type = 3")
@@ -686,14 +676,6 @@ def rename_swap(spark, d):
     return r.tables[("a", "t")].project(held["t"])
 
 
-@query("""SELECT coalesce(a.pos, b.pos) AS pos, a.name AS before, b.name AS after FROM (VALUES (1, 'id'), (2, 'name'), (3, 'age')) a(pos, name)
-FULL JOIN (VALUES (1, 'id'), (2, 'age'), (3, 'city'), (4, 'zip')) b(pos, name) USING (pos) WHERE a.name IS DISTINCT FROM b.name""")
-def schema_diff(spark, d):
-    a, b = ddl.parse("create table t (id int, name text, age int)").body, ddl.parse("create table t (id int, age int, city text, zip text)").body
-    side = lambda t, n: spark.createDataFrame([(i, f.name) for i, f in enumerate(t.fields, 1)], f"pos int, {n} string")
-    return side(a, "before").join(side(b, "after"), "pos", "full").where(~F.col("before").eqNullSafe(F.col("after")))
-
-
 @query("SELECT count(*) AS keys, count(*) FILTER (user_id IS NULL) AS null_keys FROM (SELECT DISTINCT user_id FROM events)")
 def nullable_key_check(spark, d):
     k = _events(spark, d).select("user_id").distinct()

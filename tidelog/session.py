@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
+import zipfile
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,12 +27,38 @@ DEFAULTS = {
 BROADCAST_ROWS = 100_000
 
 
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors, once per application, so that Python workers find it wherever a job was started.
+
+    Does nothing where the package was itself sent as an archive (--py-files).
+    """
+    app = spark.sparkContext.applicationId
+    root = os.path.dirname(os.path.abspath(__file__))
+    if app in _SHIPPED or not os.path.isdir(root):
+        return
+    _SHIPPED.add(app)
+    handle, path = tempfile.mkstemp(prefix="tidelog-", suffix=".zip")  # on the driver, which serves it to the executors
+    with zipfile.ZipFile(os.fdopen(handle, "wb"), "w") as archive:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    whole = os.path.join(folder, name)
+                    archive.write(whole, os.path.relpath(whole, os.path.dirname(root)))
+    spark.sparkContext.addPyFile(path)
+    atexit.register(lambda: os.path.exists(path) and os.remove(path))
+
+
+_SHIPPED: set[str] = set()
+
+
 def session(app: str = "tidelog", cores: int | str = "*", **conf: str) -> SparkSession:
     """A local session with DEFAULTS; keyword names use __ for dots (spark__sql__ansi__enabled="false")."""
     builder = SparkSession.builder.appName(app).master(f"local[{cores}]")
     for name, value in {**DEFAULTS, **{k.replace("__", "."): v for k, v in conf.items()}}.items():
         builder = builder.config(name, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship(spark)
+    return spark
 
 
 def shared_dir(spark: SparkSession, purpose: str) -> str:
@@ -38,13 +67,16 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     Only where that setting is absent (a local session, as in tests) is a folder of this machine chosen. What an
     application wrote there is deleted when its driver's JVM ends.
     """
+    ship(spark)
     app = spark.sparkContext.applicationId
     if app not in _FOLDERS:
         root = spark.conf.get("spark.checkpoint.dir", None)
         if not root:
             if not spark.sparkContext.master.startswith("local"):
                 raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-            root = "file://" + tempfile.mkdtemp(prefix="tidelog-")
+            own = tempfile.mkdtemp(prefix="tidelog-")
+            atexit.register(shutil.rmtree, own, ignore_errors=True)
+            root = "file://" + own
         folder = f"{root.rstrip('/')}/tidelog/{app}"
         path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
         fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -75,6 +107,7 @@ def spread(df: DataFrame) -> DataFrame:
 
     A scan of many splits, as any large input has, is left as it is and costs no shuffle.
     """
+    ship(df.sparkSession)
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df._jdf.queryExecution().toRdd().getNumPartitions() < cores else df
 

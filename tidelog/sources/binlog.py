@@ -572,7 +572,8 @@ class BinlogSource(DataSource):
     """Options: path (a file or folder); startFile and startPos, endFile and endPos, the positions to read from and to;
     endTime, an ISO time (UTC without zone) at which reading ends; startGtid, a set of transactions already taken, which
     chooses the first file and is left out; ignoreDatabases and ignoreTables, names separated by commas; for streams
-    maxFilesPerTrigger and with it checkpoint, the query's checkpointLocation."""
+    maxFilesPerTrigger and with it checkpoint, the query's checkpointLocation (a run that triggers availableNow takes one such
+    batch)."""
 
     @classmethod
     def name(cls) -> str:

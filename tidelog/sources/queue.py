@@ -229,8 +229,8 @@ class QueueSource(DataSource):
     """Options: path (the root). Reading: afterFile and afterPos, a transaction's log file number and position, to read only
     events behind it. Streams: startingFiles, JSON of the last file number already taken per database;
     maxFilesPerTrigger, files of each database that a batch takes at most, and with it checkpoint, the query's
-    checkpointLocation. Writing: rowsPerFile. Events of a null database
-    are written to the database '_'."""
+    checkpointLocation (a run that triggers availableNow takes one such batch). Writing: rowsPerFile. Events of a null or
+    empty database are written to the database '_'."""
 
     @classmethod
     def name(cls) -> str:
