@@ -294,3 +294,37 @@ def test_queue_written_by_spark(spark, tmp_path):
     sizes = [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]]
     query.stop()
     assert sum(sizes) == 121 and max(sizes) <= 51
+
+
+def _int_json(n):
+    return b"\5" + struct.pack("<h", n)
+
+
+def _doc():
+    """{"a": 1, "b": [true, null]} in binary JSON."""
+    keys = struct.pack("<HHHH", 18, 1, 19, 1)
+    values = b"\5" + struct.pack("<h", 1) + b"\2" + struct.pack("<H", 20)
+    inner = struct.pack("<HH", 2, 10) + b"\4\1\0" + b"\4\0\0"
+    return b"\0" + struct.pack("<HH", 2, 30) + keys + values + b"ab" + inner
+
+
+def test_partial_json_updates():
+    from tidelog.functions.packed import binary_json, json_changed, json_diffs
+
+    assert binary_json(_doc()) == {"a": 1, "b": [True, None]}
+    step = lambda what, path, v=None: bytes([what, len(path)]) + path.encode() + (bytes([len(v)]) + v if v is not None else b"")
+    diff = step(0, "$.a", _int_json(7)) + step(1, "$.b[1]", _int_json(5)) + step(2, "$.b[0]") + step(1, '$."x y"', _int_json(-3))
+    w = Writer()
+    w.table(6, "d", "j", [(binlog.LONG, b""), (binlog.JSON, b"\4"), (binlog.JSON, b"\4")], ["id", "doc", "other"])
+    document = struct.pack("<I", len(_doc())) + _doc()
+    plain = struct.pack("<I", 3) + _int_json(9)
+    before = image([struct.pack("<i", 1), document, plain])
+    after = b"\1" + b"\1" + image([struct.pack("<i", 1), struct.pack("<I", len(diff)) + diff, plain])  # options, then a bit per JSON column
+    body = (6).to_bytes(6, "little") + b"\0\0" + struct.pack("<H", 2) + b"\3\7\7"
+    w.event(39, body + before + after + before + b"\0" + image([struct.pack("<i", 1), None, plain]))
+    rows = [r for r in binlog.decode(w.data, 1) if r[4] == "partial_update_rows"]
+    assert [json.loads(r[11]) for r in rows] == [{"id": 1, "doc": {"a": 7, "b": [5, None], "x y": -3}, "other": 9}, {"id": 1, "doc": None, "other": 9}]
+    assert json.loads(rows[0][10])["doc"] == {"a": 1, "b": [True, None]} and rows[0][8] == "U"
+    assert json_changed([1], json_diffs(step(0, "$", _int_json(4)))) == 4
+    with pytest.raises(ValueError, match="no \\$.z"):
+        json_changed({}, json_diffs(step(2, "$.z")))

@@ -169,6 +169,8 @@ def test_gtid_sets():
     assert g("3-4") in g("1-5") and g("3-9") not in g("1-5") and gtid.GtidSet() in g("1")
     both = gtid.GtidSet.parse(f"{SID}:1-5:9,\n {OTHER.upper()}:3")
     assert str(both) == f"{OTHER}:3,{SID}:1-5:9" and gtid.GtidSet.decode(both.encode()) == both
+    assert g("1-3") <= g("1-5") and g("1-3") < g("1-5") and not g("1-5") < g("1-5") and not g("1-3") <= g("2-9") and not g("2-9") <= g("1-3")
+    assert g("1-5").overlaps(g("5-9")) and not g("1-5").overlaps(g("6-9")) and len(g("1-5:9")) == 6 and not gtid.GtidSet()
     for bad in ("x:1", SID, f"{SID}:", f"{SID}:5-3", f"{SID}:0", f"{SID}:a", f"{SID}:1-2-3", f"{SID}:-1"):
         with pytest.raises(ValueError):
             gtid.GtidSet.parse(bad)
@@ -233,3 +235,20 @@ def test_every_position_is_looked_up(spark):
     low, high = 5, 8997
     middle = {r.event_id for r in entry.queries()["bounded_replay"](spark, root).collect()}
     assert middle == {i for i in range(5, 9000, 4) if low + 2248 < i < high - 2248}
+
+
+def test_catalogue_of_a_source(spark):
+    from tidelog.config import Settings
+    from tidelog.ddl.schema import parse
+    from tidelog.sources import catalog
+
+    tables = spark.createDataFrame([("shop", "t", "BASE TABLE"), ("shop", "v", "VIEW"), ("shop", "t_tmp", "base table"), ("mysql", "user", "BASE TABLE"), ("crm", "c", "BASE TABLE")], "TABLE_SCHEMA string, TABLE_NAME string, TABLE_TYPE string")
+    settings = Settings(databases=["shop", "c*"], exclude_tables="*_tmp")
+    assert {tuple(r) for r in catalog.base_tables(tables, settings).collect()} == {("shop", "t"), ("crm", "c")}
+    assert {tuple(r) for r in catalog.databases(tables).collect()} == {("shop", 2), ("crm", 1)}
+    logs = spark.createDataFrame([("bin.1000000", 5), ("bin.999999", 7)], "Log_name string, File_size int")
+    assert [r.file_no for r in catalog.log_files(logs).collect()] == [999999, 1000000]
+    columns = spark.createDataFrame([("shop", "t", "b`c", "enum('x','y')", "YES", "", 2), ("shop", "t", "id", "int unsigned", "NO", "PRI", 1)], "TABLE_SCHEMA string, TABLE_NAME string, COLUMN_NAME string, COLUMN_TYPE string, IS_NULLABLE string, COLUMN_KEY string, ORDINAL_POSITION int")
+    made = parse(catalog.create_text(columns, "shop", "t"))
+    assert made.db == "shop" and made.body.key == ("id",) and [(f.name, str(f.type), f.nullable) for f in made.body.fields] == [("id", "int unsigned", False), ("b`c", "enum('x','y')", True)]
+    assert list(catalog.pending(catalog.base_tables(tables), spark.createDataFrame([("crm", "c")], "db_name string, table_name string"))) == [("shop", "t"), ("shop", "t_tmp")]

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import base64
 import json
+import re
 import struct
 from collections.abc import Iterator
 
@@ -276,6 +277,57 @@ def _json_value(kind: int, data: bytes, at: int) -> object:
     return dict(zip(names, out, strict=True))
 
 
+#: Operations of a partial JSON update.
+_REPLACE, _INSERT, _REMOVE = 0, 1, 2
+_LEG = re.compile(r'\.(?:"((?:[^"\\]|\\.)*)"|([^.\[]+))|\[(\d+)\]')
+
+
+def _coded_length(data: bytes, at: int) -> tuple[int, int]:
+    first = data[at]
+    size = {252: 2, 253: 3, 254: 8}.get(first, 0)
+    return (int.from_bytes(data[at + 1 : at + 1 + size], "little") if size else first), at + 1 + size
+
+
+def json_diffs(data: bytes) -> list[tuple[int, str, object]]:
+    """(operation, path, value) of each step of a partial JSON update."""
+    out, at = [], 0
+    while at < len(data):
+        what = data[at]
+        n, at = _coded_length(data, at + 1)
+        path, at, value = data[at : at + n].decode(), at + n, None
+        if what != _REMOVE:
+            n, at = _coded_length(data, at)
+            value, at = binary_json(data[at : at + n]), at + n
+        out.append((what, path, value))
+    return out
+
+
+def json_changed(document: object, diffs: list[tuple[int, str, object]]) -> object:
+    """The document after the steps: a value replaced, a key or element inserted, or removed. A path that leads nowhere
+    raises ValueError, since the document isn't the one that was changed. The document given isn't kept as it was."""
+    for what, path, value in diffs:
+        legs = [json.loads(f'"{m[1]}"') if m[1] is not None else m[2] if m[2] is not None else int(m[3]) for m in _LEG.finditer(path, 1)]
+        if not legs:
+            document = value
+            continue
+        try:
+            inner = document
+            for leg in legs[:-1]:
+                inner = inner[leg]
+            last = legs[-1]
+            if what == _REMOVE:
+                del inner[last]
+            elif what == _INSERT and isinstance(inner, list):
+                inner.insert(last, value)
+            elif what == _REPLACE and not isinstance(inner, list) and last not in inner:
+                raise KeyError(last)
+            else:
+                inner[last] = value
+        except (KeyError, IndexError, TypeError) as e:
+            raise ValueError(f"no {path} in the document that a partial update changes") from e
+    return document
+
+
 class _Number(str):
     """A number whose digits are written as they are."""
 

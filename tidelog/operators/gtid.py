@@ -118,6 +118,23 @@ class GtidSet:
     def __contains__(self, other: GtidSet) -> bool:
         return not (other - self).servers
 
+    def __le__(self, other: GtidSet) -> bool:
+        """Whether the other holds all of it; sets that hold transactions the other lacks are neither below nor above."""
+        return self in other
+
+    def __lt__(self, other: GtidSet) -> bool:
+        return self in other and self.servers != other.servers
+
+    def overlaps(self, other: GtidSet) -> bool:
+        """Whether any transaction is in both."""
+        return any(a < d and c < b for sid, spans in self.servers.items() for a, b in spans for c, d in other.servers.get(sid, []))
+
+    def __len__(self) -> int:
+        return sum(b - a for spans in self.servers.values() for a, b in spans)
+
+    def __bool__(self) -> bool:
+        return bool(self.servers)
+
     def __str__(self) -> str:
         span = lambda lo, hi: str(lo) if hi == lo + 1 else f"{lo}-{hi - 1}"
         return ",".join(sid + "".join(":" + span(*x) for x in spans) for sid, spans in sorted(self.servers.items()))

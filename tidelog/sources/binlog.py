@@ -5,8 +5,8 @@ row_no, logged_at, event, server_id, db_name, table_name, op ('U' written, 'D' d
 statement, a transaction id, the next file's name), before and after (JSON object of the row's values, by column name where
 the log has names, else by c0, c1, …), ok (whether the checksum is right, null without one).
 
-The format is the public one of version 4: 19-byte headers, row events of versions 1 and 2 with full or partial images,
-table maps with optional metadata. Events it has no use for come out as their name only. Paths may be of any file system
+The format is the public one of version 4: 19-byte headers, row events of versions 1 and 2 with full or partial images, JSON
+columns updated in part, table maps with optional metadata. Events it has no use for come out as their name only. Paths may be of any file system
 that sources.files knows.
 """
 
@@ -26,7 +26,7 @@ from typing import Any
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, EqualTo, Filter, GreaterThan, In, InputPartition
 
 from tidelog.functions.normalize import CHARSETS, collation_charset
-from tidelog.functions.packed import _written, binary_json, decimal_size, decimal_text
+from tidelog.functions.packed import _written, binary_json, decimal_size, decimal_text, json_changed, json_diffs
 from tidelog.operators.gtid import GtidSet
 from tidelog.sources import files
 
@@ -258,10 +258,31 @@ def _bit(bits: bytes, i: int) -> bool:
     return bool(bits[i // 8] >> i % 8 & 1)
 
 
-def _image(body: Cursor, t: TableMap, present: bytes) -> dict[str, Any]:
+def _image(body: Cursor, t: TableMap, present: bytes, before: dict[str, Any] | None = None) -> dict[str, Any]:
+    """A row's values by column name. With before it is the image after a partial update, whose JSON columns may be given as
+    changes to what they were."""
+    partial = iter(())
+    if before is not None and body.coded() & 1:
+        documents = sum(c.kind == JSON for c in t.columns)
+        bits = body.take((documents + 7) // 8)
+        partial = iter([_bit(bits, i) for i in range(documents)])
+    changed = {i: next(partial, False) for i, c in enumerate(t.columns) if c.kind == JSON}
     here = [i for i in range(len(t.columns)) if _bit(present, i)]
     nulls = body.take((len(here) + 7) // 8)
-    return {t.columns[i].name or f"c{i}": None if _bit(nulls, n) else value(body, t.columns[i]) for n, i in enumerate(here)}
+    out: dict[str, Any] = {}
+    for n, i in enumerate(here):
+        c = t.columns[i]
+        name = c.name or f"c{i}"
+        if _bit(nulls, n):
+            out[name] = None
+        elif changed.get(i):
+            steps = json_diffs(body.take(body.uint(c.meta or 4)))
+            if before is None or name not in before:
+                raise ValueError(f"a partial update of {name}, whose value before isn't in the log")
+            out[name] = json.loads(_written(json_changed(json.loads(json.dumps(before[name])), steps)))
+        else:
+            out[name] = value(body, c)
+    return out
 
 
 def rows(code: int, body: Cursor, maps: dict[int, TableMap]) -> tuple[TableMap, list[tuple[dict | None, dict | None]]]:
@@ -272,15 +293,15 @@ def rows(code: int, body: Cursor, maps: dict[int, TableMap]) -> tuple[TableMap,
     if t is None:
         raise ValueError(f"rows of table {number}, whose map isn't in the log before them")
     body.take(2)
-    if code in (30, 31, 32):
+    if code in (30, 31, 32, 39):
         body.take(body.uint(2) - 2)
     n = body.coded()
     first = body.take((n + 7) // 8)
-    second = body.take((n + 7) // 8) if code in (24, 31) else b""
+    second = body.take((n + 7) // 8) if code in (24, 31, 39) else b""
     out: list[tuple[dict | None, dict | None]] = []
     while body.left():
         one = _image(body, t, first)
-        out.append((one, _image(body, t, second)) if second else (None, one) if code in (23, 30) else (one, None))
+        out.append((one, _image(body, t, second, one if code == 39 else None)) if second else (None, one) if code in (23, 30) else (one, None))
     return t, out
 
 
@@ -400,7 +421,7 @@ def decode(data: bytes, file_no: int, after: int = 0, until: int | None = None,
             maps.clear()
         if end <= after:
             continue
-        if code in (23, 24, 25, 30, 31, 32):
+        if code in (23, 24, 25, 30, 31, 32, 39):
             if skipped:
                 continue
             t, changed = rows(code, body, maps)
