@@ -12,8 +12,9 @@ import heapq
 import html
 import re
 import unicodedata
-from collections.abc import Iterator
-from functools import lru_cache
+from collections.abc import Callable, Iterator
+from functools import lru_cache, wraps
+from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -159,7 +160,26 @@ def _class_of(c: str) -> str:
 _CLASSES = _Classes()
 
 
-@lru_cache(maxsize=200_000)
+#: Characters up to which a text's result is remembered, so that a worker's memory doesn't follow the length of lines.
+REMEMBERED = 400
+
+
+def _remembered(size: int) -> Callable[[Callable[[str], Any]], Callable[[str], Any]]:
+    """Remembers the results of a function of a text for the last `size` short ones."""
+
+    def wrap(f: Callable[[str], Any]) -> Callable[[str], Any]:
+        cached = lru_cache(maxsize=size)(f)
+
+        @wraps(f)
+        def call(text: str) -> Any:
+            return cached(text) if len(text) <= REMEMBERED else f(text)
+
+        return call
+
+    return wrap
+
+
+@_remembered(100_000)
 def cost(text: str) -> float:
     """How implausible the characters of text are; 0 for plain ASCII."""
     classes = text.translate(_CLASSES)
@@ -258,7 +278,7 @@ def neighbours(text: str, legacy: bool) -> Iterator[tuple[float, str, str]]:
                     continue
 
 
-@lru_cache(maxsize=50_000)
+@_remembered(50_000)
 def search(text: str) -> tuple[str, tuple[str, ...]]:
     """The cheapest text in reach of `text` and the operations that lead there, none where `text` is it.
 
