@@ -132,6 +132,22 @@ def test_a_hidden_document_reaches_the_search(spark):
     assert [(r.doc_id, r.restored) for r in M.garbled(df).collect()] == [(1, "café")]
 
 
+def test_other_lines_decide_between_ways_alike():
+    right = ["Trouvé entrée « où.", "# la clé de l'entrée est répétée", "# données très détaillées après l'été", "# répétez l'exécution du modèle"]
+    assert M.repaired("\n".join(wrong(x, "cp1252", "mac-roman") for x in right)) == ("\n".join(right), ["mac-roman>cp1252"] * 4)
+
+
+def test_results_do_not_hang_on_the_hash_seed():
+    import os
+    import subprocess
+    import sys
+
+    code = "from tidelog.llm import mojibake as M; print([M.cost(x) for x in ('Trouv\u00e9 o\u016f', '\u03b6\u03b2\u03c7 \u043e\u043f', '\u00c3\u00a9\u2022\u00b5')])"
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    seen = {subprocess.run([sys.executable, "-c", code], cwd=root, env={**os.environ, "PYTHONHASHSEED": str(i)}, capture_output=True, text=True, check=True).stdout for i in range(4)}
+    assert len(seen) == 1
+
+
 def test_operator(spark):
     bad = wrong(SENTENCES["de"], "utf-8", "cp1252")
     rows = [(1, bad, "x"), (2, SENTENCES["de"], "x"), (3, None, "x"), (4, "", "x"), (5, "ascii", "x"), (1, bad, "x"), (None, bad, "x"), (7, "y" * 300_000 + "\n" + bad, "x")]

@@ -12,6 +12,7 @@ import heapq
 import html
 import re
 import unicodedata
+from collections import Counter
 from collections.abc import Callable, Iterator
 from functools import lru_cache, wraps
 from typing import Any
@@ -41,6 +42,8 @@ BOXES = ("─│┌┐└┘├┤┬┴┼", "═║╔╗╚╝╠╣╦╩╬
 #: What an operation costs on top of its result's characters, and what a stretch must gain to count as garbled,
 #: and what a letter costs that the language fitting best doesn't have.
 STEP, STEP_LEGACY, GAIN, SHARE, MIXED = 1.0, 1.5, 3.5, 0.25, 2.0
+#: Cost by which two ways may differ for the other lines of a text to decide between them.
+SAME = 1.0
 #: Cost for each character beyond ASCII up to which text is plausible as it stands.
 PLAUSIBLE = 1.15
 
@@ -113,7 +116,7 @@ def _class_of(c: str) -> str:
         return "z"
     if n == 0xFFFD:
         return "f"
-    if c in "’‘":
+    if c == "’":  # the apostrophe; its left counterpart only opens a quotation
         return "'"
     if c in MARKS:
         return "p"
@@ -184,7 +187,7 @@ def cost(text: str) -> float:
     """How implausible the characters of text are; 0 for plain ASCII."""
     classes = text.translate(_CLASSES)
     total = 0.0
-    for kind in set(classes):
+    for kind in sorted(set(classes)):
         weight = _WEIGHT[kind]
         if weight:
             total += weight * classes.count(kind)
@@ -445,6 +448,7 @@ def repaired(text: str | None) -> tuple[str | None, list[str]]:
     if text is None or silent(text):
         return text, []
     lines, ways, left = text.split("\n"), [], {}
+    taken: dict[int, tuple[str, str]] = {}
     weak: dict[tuple[str, ...], None] = {}
     weak_lines: dict[str, None] = {}
     for i, line in enumerate(lines):
@@ -452,11 +456,26 @@ def repaired(text: str | None) -> tuple[str | None, list[str]]:
             around = "\n".join([*lines[max(0, i - 1) : i], *lines[i + 1 : i + 2]]) + "\n"
             lines[i], more = repaired_line(line, around)
             ways += more
+            if len(more) == 1 and " " not in more[0] and more[0] != "lost":
+                taken[i] = line, more[0]
             if not more and not line.isascii() and not plausible(line):
                 found, path = search(line)
                 weak_lines[line], left[i] = None, around
                 if len(path) == 1 and weight(line, found, path)[1]:
                     weak[path] = None
+    # Between ways of about the same cost a line goes by the other lines of its text.
+    usual, often = Counter(way for _, way in taken.values()).most_common(1)[0] if taken else ("", 0)
+    for i, (line, way) in taken.items() if often > 1 else ():
+        if way != usual and (other := step_of(line, usual)) and cost(other) <= cost(lines[i]) + SAME:
+            lines[i] = other
+            ways[ways.index(way)] = usual
+    # What one line bears out by itself holds for lines that are too weak to.
+    for i in list(left) if taken else ():
+        if (other := step_of(lines[i], usual)) and weight(lines[i], other, (usual,))[1]:
+            weak_lines.pop(lines[i], None)
+            lines[i] = other
+            ways.append(usual)
+            del left[i]
     for path in weak:
         held = {x: (y, w) for x in weak_lines if (y := step_of(x, path[0])) and (w := weight(x, y, path))[1]}
         if len(held) > 1 and sum(g for _, (g, _) in held.values()) >= 1.5 * GAIN and sum(n for _, (_, n) in held.values()) >= 2 * LETTERS:
