@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 
 from tidelog.config import Settings
 from tidelog.session import session
-from tidelog.sources import files, queue
-from tidelog.sources.binlog import BinlogSource, _Bounds, complete
+from tidelog.sources import files, queue, register
+from tidelog.sources.binlog import _Bounds, complete
 from tidelog.streaming.replicate import Replica
 
 
@@ -41,7 +41,7 @@ def _arguments(argv: list[str]) -> argparse.Namespace:
 def _log(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
     if not a.log:
         raise SystemExit("--log is missing")
-    spark.dataSource.register(BinlogSource)
+    register(spark)
     return spark.readStream.format("tidelog_binlog").options(path=a.log, **dict(o.split("=", 1) for o in a.option)).load()
 
 
@@ -79,7 +79,7 @@ def main(argv: list[str] | None = None) -> int:
     if a.mode == "run":
         _stream(a, settings, _log(spark, a), replica.apply, "run")
     elif a.mode == "queue":
-        spark.dataSource.register(queue.QueueSource)
+        register(spark)
         root = files.joined(settings.root, "queue")
 
         def batch(rows: DataFrame, _: int) -> None:

@@ -16,8 +16,7 @@ from tidelog.plans import problems
 from tidelog.plans.catalogue import registrar
 from tidelog.plans.fixtures import CREATE, write_customers
 from tidelog.session import shared_dir, table
-from tidelog.sources.binlog import BinlogSource
-from tidelog.sources.queue import QueueSource
+from tidelog.sources import register
 from tidelog.streaming.replicate import Replica
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,7 +30,7 @@ lower(c_mktsegment) AS segment, '{"n":' || c_nationkey || '}' AS extra FROM cust
 def _binlog(spark: SparkSession, d: str) -> str:
     folder = shared_dir(spark, "binlog")
     write_customers(table(spark, d, "customer").repartitionByRange(4, "c_custkey"), folder)
-    spark.dataSource.register(BinlogSource)
+    register(spark)
     return folder
 
 
@@ -55,7 +54,7 @@ def binlog_stream(spark, d):
 def _queue(spark: SparkSession, d: str) -> str:
     """log_events in order of arrival as a queue; a folder per database in its plain form."""
     root = shared_dir(spark, "queue")
-    spark.dataSource.register(QueueSource)
+    register(spark)
     events = table(spark, d, "log_events").withColumn("db_name", names.plain_name("db_name"))
     events.repartitionByRange(4, "delivery_no").sortWithinPartitions("delivery_no").write.format("tidelog_queue").option("path", root).mode("append").save()
     return root

@@ -45,6 +45,9 @@ def ship(spark: SparkSession) -> None:
                     whole = os.path.join(folder, name)
                     archive.write(whole, os.path.relpath(whole, os.path.dirname(root)))
     spark.sparkContext.addPyFile(path)
+    # A stream's planner, a Python process beside the driver, isn't given the files that were added.
+    held = spark.sparkContext.environment
+    held["PYTHONPATH"] = os.pathsep.join(filter(None, [path, held.get("PYTHONPATH")]))
     atexit.register(lambda: os.path.exists(path) and os.remove(path))
 
 

@@ -1,6 +1,6 @@
 """Binary log files of a source, decoded offline.
 
-format("tidelog_binlog") reads a file or a folder of files, a task per file, as a table or a stream, into rows: file_no, log_pos (end of the event),
+format("tidelog_binlog"), once sources.register() made it known, reads a file or a folder of files, a task per file, as a table or a stream, into rows: file_no, log_pos (end of the event),
 row_no, logged_at, event, server_id, db_name, table_name, op ('U' written, 'D' deleted, 'Q' statement, null otherwise), text (a
 statement, a transaction id, the next file's name), before and after (JSON object of the row's values, by column name where
 the log has names, else by c0, c1, …), ok (whether the checksum is right, null without one).

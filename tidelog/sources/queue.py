@@ -1,6 +1,6 @@
 """A queue of change events in files: root/<database>/<number>.jsonl, one event per line.
 
-format("tidelog_queue") reads it as a table or a stream of db_name, file_num, line_no, transaction_id<file_name, log_pos>,
+format("tidelog_queue"), once sources.register() made it known, reads it as a table or a stream of db_name, file_num, line_no, transaction_id<file_name, log_pos>,
 event_type, table_name, records, and writes rows with these columns (file_num and line_no aside) behind what is there.
 Files are complete once they have their name (they are written elsewhere and renamed), and numbers grow, so a stream's
 offset is a file number per database. Filters on db_name choose folders before any is read. Paths may be of any file
