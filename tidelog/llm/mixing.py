@@ -15,11 +15,13 @@ is paired off again, a level of a tree at a time. A source of any size thus neve
 from __future__ import annotations
 
 import base64
+import os
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,6 +44,8 @@ def plain_source(c: Column | str) -> Column:
 def _encoding(path: str):  # noqa: ANN202
     import tiktoken
 
+    if not os.path.exists(path):  # an executor without the vocabulary takes the one that token_counts() sent along
+        path = SparkFiles.get(os.path.basename(path))
     with open(path, "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
     return tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
@@ -59,7 +63,13 @@ def _counter(path: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
 
 
 def token_counts(docs: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
-    """(doc_id, source, tokens): tokens of the whole text; 0 for null and empty texts. source is plain_source()."""
+    """(doc_id, source, tokens): tokens of the whole text; 0 for null and empty texts. source is plain_source().
+
+    tokenizer: the vocabulary's path on the driver, which sends it to executors, or on each executor.
+    """
+    context = docs.sparkSession.sparkContext
+    if not context.master.startswith("local") and os.path.exists(tokenizer):
+        context.addFile(tokenizer)
     slim = spread(docs.select("doc_id", plain_source("source").alias("source"), F.col("text").cast("string").alias("text")))
     return slim.mapInArrow(_counter(tokenizer), f"doc_id {dict(slim.dtypes)['doc_id']}, source string, tokens bigint")
 
