@@ -28,6 +28,8 @@ def test_run_optimize_monitor_read(spark, place, capsys):
     assert report["tables"] == 1 and report["files_behind"] == 0 and report["applied"] == report["log"]
     cli.main(["read", *base, "--table", "shop.customer"])
     rows = [json.loads(x) for x in capsys.readouterr().out.splitlines()]
+    cli.main(["read", *base, "--sql", "SELECT segment, count(*) AS n FROM shop_customer GROUP BY ALL ORDER BY segment"])
+    assert [json.loads(x) for x in capsys.readouterr().out.splitlines()] == [{"segment": "building", "n": 20}, {"segment": "machinery", "n": 20}]
     assert len(rows) == 40 and {r["id"]: r for r in rows}[5] == {"id": 5, "name": "n5", "nation": 5, "balance": 6.25, "price": 6.25, "segment": "machinery", "extra": '{"n":5}'}
 
 

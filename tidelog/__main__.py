@@ -4,7 +4,7 @@ run       applies binary log files to the tables under the settings' root, once
 queue     copies row and statement events from binary log files to a queue, and removes what is older than retention
 optimize  compacts all tables, once or every optimize_seconds
 monitor   prints how far the tables are and, with a log folder, how far the log is
-read      prints a table as JSON lines
+read      prints a table, or what a query over tables named <database>_<table> gives, as JSON lines
 """
 
 from __future__ import annotations
@@ -33,6 +33,7 @@ def _arguments(argv: list[str]) -> argparse.Namespace:
     p.add_argument("--config", required=True, help="settings in YAML")
     p.add_argument("--log", help="folder of binary log files")
     p.add_argument("--table", help="database.table, for read")
+    p.add_argument("--sql", help="query, for read")
     p.add_argument("--follow", action="store_true", help="go on until stopped")
     p.add_argument("--option", action="append", default=[], metavar="NAME=VALUE", help="option of the log source, such as startGtid=…")
     return p.parse_args(argv)
@@ -103,7 +104,7 @@ def main(argv: list[str] | None = None) -> int:
         print(json.dumps(report))
     else:
         db, _, name = (a.table or "").partition(".")
-        for row in replica.read(db, name).toJSON().toLocalIterator():
+        for row in (replica.sql(a.sql) if a.sql else replica.read(db, name)).toJSON().toLocalIterator():
             print(row)
     return 0
 

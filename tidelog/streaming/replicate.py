@@ -97,6 +97,12 @@ class Replica:
         rows = self.store(db, table).read()
         return rows.select(*[typed(F.col(f.id), f, self.settings.types_mapping, self.settings.source_timezone).alias(f.name) for f in t.fields])
 
+    def sql(self, text: str) -> DataFrame:
+        """A query over the tables as they are now, each known as <database>_<table>."""
+        for db, table in self.places:
+            self.read(db, table).createOrReplaceTempView(f"{db}_{table}")
+        return self.spark.sql(text)
+
     def snapshot(self, db: str, table: str, rows: DataFrame) -> None:
         """Stores rows copied from the source, under their names, below every change of the log."""
         t = self.registry.tables[(db, table)]
