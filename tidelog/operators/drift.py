@@ -18,10 +18,12 @@ from pyspark.sql import functions as F
 
 from tidelog.ddl.types import SourceType
 from tidelog.functions.names import plain_name, plain_type, type_shape
-from tidelog.session import all_kept, kept
+from tidelog.session import all_kept, bounded, kept
 
 FILE = ["db_name", "table_name", "file_no"]
 _MAP = "map<string,string>"
+#: Files whose schemas are broadcast to their records; more are joined by file.
+TARGETS = 20_000
 _TYPES = "array<struct<name:string,type:string,shape:string>>"
 
 
@@ -177,7 +179,7 @@ def ingest(records: DataFrame, targets: DataFrame, fits: Fits = holds) -> DataFr
     columns. fits decides whether a field's type takes a value.
     """
     aimed = targets.select(*FILE, F.map_from_arrays(F.col("fields")["name"], F.col("fields")["shape"]).alias("_target"))
-    joined = records.join(aimed, FILE, "left").withColumn("_target", F.coalesce("_target", _empty(_MAP)))
+    joined = records.join(bounded(aimed, TARGETS), FILE, "left").withColumn("_target", F.coalesce("_target", _empty(_MAP)))
     value = lambda n: F.try_element_at("fields", n)
     typed = F.transform_values("_target", lambda n, kind: _fitting(value(n), kind, fits))
     lost = F.map_filter("fields", lambda n, v: v.isNotNull() & ~_fits(v, F.try_element_at("_target", n), fits))
@@ -237,10 +239,10 @@ def _renames(pairs: DataFrame, records: DataFrame) -> DataFrame:
     """
     pairs = pairs.where("size(gone) > 0 AND size(new) > 0")
     records = records.where("id IS NOT NULL")
-    later = ingest(records, pairs.select(*FILE, F.col("old_fields").alias("fields")), _any).join(pairs.select(*FILE, "new"), FILE)
+    later = ingest(records, pairs.select(*FILE, F.col("old_fields").alias("fields")), _any).join(bounded(pairs.select(*FILE, "new"), TARGETS), FILE)
     picked = lambda names, fields: F.explode(F.transform(names, lambda n: F.struct(n.alias("name"), F.try_element_at(fields, n).alias("value")))).alias("f")
     new_side = later.withColumn("held", F.from_json("rescued", _MAP)).select(*FILE, "id", picked("new", "held"))
-    earlier = records.withColumn("file_no", F.col("file_no") + 1).join(pairs.select(*FILE, "gone"), FILE)
+    earlier = records.withColumn("file_no", F.col("file_no") + 1).join(bounded(pairs.select(*FILE, "gone"), TARGETS), FILE)
     new_side, old_side = all_kept((new_side, "new-side"), (earlier.select(*FILE, "id", picked("gone", "fields")), "old-side"))
     once = lambda df: df.select(*FILE, "id").distinct()
     both = kept(once(new_side).intersect(once(old_side)), "shared-ids")
